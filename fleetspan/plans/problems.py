@@ -14,6 +14,7 @@ from fleetspan.operators.grid import empty_slots, regular_series
 from fleetspan.operators.late import Lateness, corrected_periods, partials
 from fleetspan.operators.near import containing_regions, near_pairs
 from fleetspan.operators.nested import record_rows
+from fleetspan.operators.spikes import false_line_speeds, false_positions
 from fleetspan.session import table
 
 API_LISTS = ("l[]", "l[].vs[]", "vs[]")
@@ -125,6 +126,12 @@ def p3_series(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.col("source_key").alias("vehicle_id"), second_text(F.col("slot_us")).alias("slot_start"), "readings", F.round("mean_value", 6).alias("mean_speed"), F.round("coverage", 6).alias("coverage"), "filled")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """False readings of vehicles and lines."""
+    positions = false_positions(table(spark, d, "vehicle_positions")).select(F.lit("vehicle_positions").alias("source_name"), "row_key")
+    return positions.unionByName(false_line_speeds(table(spark, d, "kpi_by_line")).select(F.lit("kpi_by_line").alias("source_name"), "row_key"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Surplus deliveries."""
     return surplus_rows(table(spark, d, "vehicle_positions")).select(F.col("arrival").alias("row_id"))
@@ -144,5 +151,5 @@ def p7_vehicles(spark: SparkSession, d: str) -> DataFrame:
 
 
 PROBLEMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_figures, p3_found, p3_series, p5_found, p7_found, p7_vehicles)
+    f.__name__: f for f in (p1_found, p2_found, p2_figures, p3_found, p3_series, p4_found, p5_found, p7_found, p7_vehicles)
 }
