@@ -35,6 +35,8 @@ class Limits:
     lat: tuple[float, float] = (-24.0, -23.0)
     kmh: float = 120.0
     moved_m: float = 100.0
+    drift_m: float = 20.0
+    walk_kmh: float = 3.0
     alpha: float = 0.2
     most: float = 0.25
     least_scale: float = 1.0
@@ -193,16 +195,23 @@ def false_places(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarr
     return bad
 
 
-def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarray, lim: Limits) -> np.ndarray:
-    """Cases of latitude among pings in time order."""
+def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarray, speed: np.ndarray, lim: Limits) -> np.ndarray:
+    """Cases of latitude among pings in time order.
+
+    A vehicle whose latitude is held is under way if its longitude drifts or its median speed is above walking pace.
+    """
     known = ~np.isnan(lat)
     hit = known & ~((lat >= lim.lat[0]) & (lat <= lim.lat[1]))
     at = np.flatnonzero(known)
     if len(at):
         number = held_runs(run[at], lat[at], lim.held)
         if (number >= 0).any():
-            far = _extent_m(np.maximum(number, 0), np.where(number >= 0, lat[at], np.nan), lon[at])
-            hit[at[(number >= 0) & (far[np.maximum(number, 0)] > lim.moved_m)]] = True
+            held = number >= 0
+            far = _extent_m(np.maximum(number, 0), np.where(held, lat[at], np.nan), lon[at])
+            paced = held & ~np.isnan(speed[at])
+            pace = group_median(number[paced], speed[at][paced], len(far))
+            under_way = (far > lim.drift_m) | (pace > lim.walk_kmh)
+            hit[at[held & under_way[np.maximum(number, 0)]]] = True
     at = np.flatnonzero(known & ~hit & (np.abs(lon) <= 180))
     hit[at[false_places(run[at], us[at], lat[at], lon[at], lim)]] = True
     return hit
@@ -253,7 +262,7 @@ def false_positions(df: DataFrame, lim: Limits = Limits()) -> DataFrame:
         for table in blocks(batches):
             table, run, us = first_of_time(table, runs(table), table.column("event_us").to_numpy())
             lat, lon, speed = floats(table, "latitude"), floats(table, "longitude"), floats(table, "speed")
-            place = false_latitudes(run, us, lat, lon, lim)
+            place = false_latitudes(run, us, lat, lon, speed, lim)
             sound = np.where(place, np.nan, lat)
             pace = false_speeds(run, us, speed, lim, sound, lon)
             at = np.flatnonzero(place | pace)

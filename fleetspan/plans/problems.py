@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.functions.clock import micros, second_text
+from fleetspan.functions.clock import micros, milli_text, second_text
 from fleetspan.functions.vehicle import bare_vehicle
 from fleetspan.operators.delivery import surplus_rows
 from fleetspan.operators.grid import empty_slots, regular_series
@@ -15,6 +15,7 @@ from fleetspan.operators.late import Lateness, corrected_periods, partials
 from fleetspan.operators.near import containing_regions, near_pairs
 from fleetspan.operators.nested import record_rows
 from fleetspan.operators.spikes import false_line_speeds, false_positions
+from fleetspan.operators.trips import stops_and_trips
 from fleetspan.session import table
 
 API_LISTS = ("l[]", "l[].vs[]", "vs[]")
@@ -137,6 +138,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return surplus_rows(table(spark, d, "vehicle_positions")).select(F.col("arrival").alias("row_id"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Stops and trips."""
+    s = stops_and_trips(table(spark, d, "vehicle_positions"))
+    return s.select(F.when(F.col("is_stop"), "stop").otherwise("trip").alias("segment"), "vehicle_id", milli_text(F.col("started_us")).alias("started_at"), milli_text(F.col("ended_us")).alias("ended_at"))
+
+
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Stops and trips with duration and distance."""
+    s = stops_and_trips(table(spark, d, "vehicle_positions"))
+    return s.select("vehicle_id", "is_stop", milli_text(F.col("started_us")).alias("started_at"), milli_text(F.col("ended_us")).alias("ended_at"), F.round("seconds", 3).alias("seconds"), F.round("metres", 3).alias("metres"), "pings")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the flat line and vehicle tables."""
     t = api_tables(spark, d)
@@ -151,5 +164,5 @@ def p7_vehicles(spark: SparkSession, d: str) -> DataFrame:
 
 
 PROBLEMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_figures, p3_found, p3_series, p4_found, p5_found, p7_found, p7_vehicles)
+    f.__name__: f for f in (p1_found, p2_found, p2_figures, p3_found, p3_series, p4_found, p5_found, p6_found, p6_segments, p7_found, p7_vehicles)
 }
