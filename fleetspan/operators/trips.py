@@ -91,16 +91,17 @@ def smoothed_speed(st: Stretches, sec: np.ndarray, x: np.ndarray, y: np.ndarray,
     return np.hypot(v[0], v[1])
 
 
-def stationary(st: Stretches, speed: np.ndarray, step_ms: np.ndarray, rules: TripRules) -> np.ndarray:
+def stationary(st: Stretches, speed: np.ndarray, step_ms: np.ndarray, step_s: np.ndarray, rules: TripRules) -> np.ndarray:
     """Most likely state of each ping, True for stationary.
 
-    Both the smoothed speed and the raw speed of the slower adjacent step are observed: half-normal when stationary, exponential when moving.
+    What is observed is the smoothed speed or, if less, the raw speed of the slower adjacent step: half-normal when stationary,
+    exponential when moving. A step of several minutes counts as that many observations (1 to 8).
     """
     n = len(speed)
-    seen = np.minimum(speed, step_ms)
+    seen, weight = np.minimum(speed, step_ms), np.clip(step_s / 60, 1, 8)
     cost = np.empty((2, n))
-    cost[0] = seen**2 / (2 * rules.still_ms**2) + np.log(rules.still_ms * np.sqrt(np.pi / 2))
-    cost[1] = seen / rules.moving_ms + np.log(rules.moving_ms)
+    cost[0] = weight * (seen**2 / (2 * rules.still_ms**2) + np.log(rules.still_ms * np.sqrt(np.pi / 2)))
+    cost[1] = weight * (seen / rules.moving_ms + np.log(rules.moving_ms))
     stay, move = -np.log(1 - rules.switch), -np.log(rules.switch)
     total, came = cost.copy(), np.zeros((2, n), dtype=bool)
     order = list(st.steps())
@@ -179,7 +180,9 @@ def segments_of(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarra
     pace[np.concatenate([start[1:] - 1, [n - 1]])] = np.inf
     before = np.concatenate([[np.inf], pace[:-1]])
     before[start] = np.inf
-    still = stationary(st, smoothed_speed(st, sec, x, y, rules), np.minimum(pace, before), rules)
+    lasts = np.concatenate([gap / 1e6, [0.0]])
+    slow_s = np.where(before < pace, np.concatenate([[0.0], lasts[:-1]]), lasts)
+    still = stationary(st, smoothed_speed(st, sec, x, y, rules), np.minimum(pace, before), slow_s, rules)
     so_far = np.concatenate([[0.0], np.cumsum(leg)])
     out = []
     for lo, hi in zip(start, start + length - 1, strict=True):
