@@ -23,14 +23,15 @@ HOT_ROWS = 1_000_000
 SILENCE = 1200
 
 
-def with_parts(rows: DataFrame, hot_rows: int = HOT_ROWS, silence: int = SILENCE) -> DataFrame:
+def with_parts(rows: DataFrame, hot_rows: int = HOT_ROWS, silence: int = SILENCE, counted: DataFrame | None = None) -> DataFrame:
     """Adds ``part``: 0, but for sources with more than ``hot_rows`` rows a number that grows at silences.
 
     Rows are counted by source; only for sources above the bound (at most all rows / ``hot_rows`` of them) rows per slot of
     ``silence`` seconds are counted too. Between two occupied slots with an empty one in between nothing was sent for
     at least ``silence`` seconds, so a cut there separates no stop or trip. Parts are filled up to ``hot_rows`` rows.
+    ``counted`` may hold the same sources with more rows but a cheaper plan; the counts come from it.
     """
-    hot = [r[0] for r in rows.groupBy("source_key").count().where(F.col("count") > hot_rows).select("source_key").collect()]
+    hot = [r[0] for r in (rows if counted is None else counted).groupBy("source_key").count().where(F.col("count") > hot_rows).select("source_key").collect()]
     if not hot:
         return rows.withColumn("part", F.lit(0))
     is_hot = F.col("source_key").isin(hot)
@@ -46,7 +47,7 @@ def with_parts(rows: DataFrame, hot_rows: int = HOT_ROWS, silence: int = SILENCE
 def ordered(ids: DataFrame, hot_rows: int = HOT_ROWS, first_only: bool = True) -> DataFrame:
     """Rows of ``identified`` by source in time order; copies that arrive together are dropped before the shuffle."""
     rows = local_first(ids, "id_hash", "arrival", ["source_key", "event_us"]) if first_only else ids
-    return with_parts(rows, hot_rows).drop("id_hash").repartition("source_key", "part").sortWithinPartitions("source_key", "part", "event_us", "arrival")
+    return with_parts(rows, hot_rows, counted=ids).drop("id_hash").repartition("source_key", "part").sortWithinPartitions("source_key", "part", "event_us", "arrival")
 
 
 def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK_ROWS) -> Iterator[pa.Table]:
