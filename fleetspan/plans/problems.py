@@ -29,15 +29,18 @@ def instant(text: Column) -> Column:
     return F.when(text.rlike(INSTANT), F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp"))
 
 
-def api_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of all tables in ``api_raw``, each response once.
+def api_rows(spark: SparkSession, d: str, keep: dict[str, Column] | None = None) -> DataFrame:
+    """Rows of all tables in ``api_raw``, each response once, with ``fields`` and ``parent`` or only the columns of ``keep``.
 
-    Copies of one ``request_id`` are identical; were they not, the first by arrival and then by content counts. Null ids stay apart.
+    Copies of one ``request_id`` are identical; were they not, the first by arrival and then by content counts. Responses
+    without an id are no copies of each other. The text is parsed once and only the rows made of it are shuffled.
     """
     rows = record_rows(table(spark, d, "api_raw"), "request_id", "raw_json", API_LISTS, "request_timestamp")
-    version = F.struct(F.col("record_time"), F.xxhash64(F.map_entries("fields"), F.map_entries("parent")))
-    once = rows.where("record_key is not null").groupBy("record_key", "path", "ordinals").agg(F.min_by(F.struct("record_time", "fields", "parent"), version).alias("row"))
-    return once.select("record_key", "path", "ordinals", "row.*").unionByName(rows.where("record_key is null").select("record_key", "path", "ordinals", "record_time", "fields", "parent"))
+    keep = keep or {"fields": F.col("fields"), "parent": F.col("parent")}
+    content = F.xxhash64(F.map_entries("fields"), F.map_entries("parent"))
+    rows = rows.select("record_key", "path", "ordinals", "record_time", *[c.alias(n) for n, c in keep.items()], content.alias("content"), F.when(F.col("record_key").isNull(), F.monotonically_increasing_id()).alias("apart"))
+    once = rows.groupBy("record_key", "path", "ordinals", "apart").agg(F.min_by(F.struct("record_time", *keep), F.struct("record_time", "content")).alias("row"))
+    return once.select("record_key", "path", "ordinals", "row.*")
 
 
 def api_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -54,7 +57,7 @@ def api_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     vehicles = rows.where("path in ('l[].vs[]', 'vs[]')").select(
         F.col("record_key").alias("request_id"),
         F.when(nested, F.col("ordinals")[0]).otherwise(-1).alias("line_pos"),
-        F.when(nested, F.col("ordinals")[1]).otherwise(F.col("ordinals")[0]).alias("vehicle_pos"),
+        F.when(nested, F.get("ordinals", F.lit(1))).otherwise(F.col("ordinals")[0]).alias("vehicle_pos"),
         F.when(nested, F.col("parent")["cl"]).alias("line_code"),
         field("p").alias("vehicle_prefix"),
         (field("a") == "true").alias("accessible"),
@@ -151,11 +154,19 @@ def p6_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of the flat line and vehicle tables."""
-    t = api_tables(spark, d)
-    text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    lines = t["lines"].select("request_id", "line_pos", F.lit(-1).alias("vehicle_pos"), text("line_code").alias("line_code"), F.lit("").alias("vehicle_prefix"))
-    return lines.unionByName(t["vehicles"].select("request_id", "line_pos", "vehicle_pos", text("line_code").alias("line_code"), text("vehicle_prefix").alias("vehicle_prefix")))
+    """Rows of the flat line and vehicle tables, from one pass over the texts."""
+    path, own, up = F.col("path"), F.col("fields"), F.col("parent")
+    is_line = F.map_contains_key(own, "cl") | F.map_contains_key(own, "sl") | F.map_contains_key(own, "vs")
+    keep = {"wanted": F.when(path == "l[]", is_line).otherwise(path != ""), "line_code": F.when(path == "l[]", own["cl"]).otherwise(up["cl"]), "vehicle_prefix": F.when(path != "l[]", own["p"])}
+    rows = api_rows(spark, d, keep).where("wanted")
+    at, top = F.col("ordinals"), path == "vs[]"
+    return rows.select(
+        F.col("record_key").alias("request_id"),
+        F.when(top, -1).otherwise(at[0]).alias("line_pos"),
+        F.when(top, at[0]).when(path == "l[]", -1).otherwise(F.get(at, F.lit(1))).alias("vehicle_pos"),
+        F.coalesce("line_code", F.lit("")).alias("line_code"),
+        F.coalesce("vehicle_prefix", F.lit("")).alias("vehicle_prefix"),
+    )
 
 
 def p7_vehicles(spark: SparkSession, d: str) -> DataFrame:
