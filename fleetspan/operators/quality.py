@@ -87,7 +87,7 @@ def checks(df: DataFrame, required: list[str], keys: list[str], now: Column, ts:
         F.coalesce(F.try_divide(F.count_if(complete).cast("double"), n), F.lit(0.0)).alias("required"),
         F.coalesce(F.try_divide(F.count_if(F.coalesce(in_box(F.col("latitude"), F.col("longitude"), box), F.lit(False))).cast("double"), n), F.lit(0.0)).alias("place"),
         F.coalesce(F.try_divide(F.count_if(F.col("speed").between(slow, fast)).cast("double"), n), F.lit(0.0)).alias("pace"),
-        F.coalesce((F.unix_micros(now) - F.max(F.unix_micros(F.col(ts).cast("timestamp")))) / 60e6, F.lit(999999.0)).alias("age"),
+        F.coalesce(F.min(F.unix_micros(now) - F.unix_micros(F.col(ts).cast("timestamp"))) / 60e6, F.lit(999999.0)).alias("age"),
     )
     grouped = df.groupBy(*keys).count()
     two = grouped.agg(F.coalesce(F.try_divide(F.sum(F.col("count") - 1).cast("double"), F.sum("count")), F.lit(0.0)).alias("dup"))
