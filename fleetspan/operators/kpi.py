@@ -63,7 +63,8 @@ def trip_stats(df: DataFrame, trip: str = "trip_id", ts: str = "ts", speed: str
 
 
 def daily_figures(df: DataFrame, ts: str = "ts", speed: str = "speed", trip: str = "trip_id") -> DataFrame:
-    """Per date: distinct vehicles, lines and trips, rows, speeds, first and last time and the hours between."""
+    """Per date: distinct vehicles, lines and trips (0 without a column of trips), rows, speeds, first and last time and the hours between."""
+    df = df if trip in df.columns else df.withColumn(trip, F.lit(None).cast("string"))
     out = df.groupBy(F.to_date(ts).alias("date")).agg(
         F.count_distinct("vehicle_id").alias("total_vehicles"), F.count_distinct("line_id").alias("total_lines"), F.count_distinct(trip).alias("total_trips"), F.count("*").alias("total_records"),
         F.avg(speed).alias("avg_speed"), F.max(speed).alias("max_speed"), F.min(ts).alias("first_record"), F.max(ts).alias("last_record"),

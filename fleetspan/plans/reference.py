@@ -10,8 +10,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.functions import columns as X
-from fleetspan.functions.geo import haversine_m
 from fleetspan.operators import clean, dedup, enrich, kpi, quality, telemetry
 from fleetspan.plans import layers
 from fleetspan.plans.layers import positions, silver, with_clock, with_telemetry
@@ -31,7 +29,8 @@ SILVER = f"""{P}, silver AS (SELECT *, CASE WHEN is_duplicate THEN 0.5 WHEN rout
 
 
 def hav(a: str, b: str, c: str, d: str) -> str:
-    return f"(12742.0 * asin(sqrt(least(1.0, greatest(0.0, pow(sin((radians({c}) - radians({a})) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin((radians({d}) - radians({b})) / 2), 2))))))"
+    """Great-circle kilometres; null if any part is null (least and greatest skip nulls)."""
+    return f"(CASE WHEN {a} + {b} + {c} + {d} IS NOT NULL THEN 12742.0 * asin(sqrt(least(1.0, greatest(0.0, pow(sin((radians({c}) - radians({a})) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin((radians({d}) - radians({b})) / 2), 2))))) END)"
 
 
 SEC = "floor(epoch_us({0}) / 1000000)"
@@ -53,7 +52,7 @@ def query(sql: str | None = None) -> Callable:
     def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = sql
+            SQL[f.__name__] = sql.replace("count_if(", "count(*) FILTER (WHERE ")  # a bigint in DuckDB
         return f
 
     return add
