@@ -178,4 +178,38 @@ PROBLEMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p2_found, p2_figures, p3_found, p3_series, p4_found, p5_found, p6_found, p6_segments, p7_found, p7_vehicles)
 }
 
-SQL: dict[str, str] = {}
+
+# The same rows in SQL, written from the definitions; p4 and p6 (iterative) are held against brute force in the tests.
+_KEPT = """k0 AS (SELECT row_id, lpad(ltrim(trim(vehicle_id, E' \\t\\n\\r'), '0'), 8, '0') AS v, "timestamp" AS ts, speed FROM vehicle_positions),
+ k1 AS (SELECT *, row_number() OVER (PARTITION BY v, ts ORDER BY row_id) AS rn FROM k0 WHERE v IS NOT NULL AND ts IS NOT NULL)"""
+_JSON = """j0 AS (SELECT request_id, request_timestamp AS came, CASE WHEN json_valid(raw_json) THEN raw_json::JSON END AS j FROM api_raw),
+ j1 AS (SELECT request_id, came, CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j ->> '$') THEN (j ->> '$')::JSON END ELSE j END AS j FROM j0),
+ j2 AS (SELECT request_id, min(came) AS came, arg_min(j, came) AS j FROM j1 WHERE j IS NOT NULL GROUP BY 1),
+ l0 AS (SELECT request_id, came, CASE json_type(j, '$.l') WHEN 'ARRAY' THEN json_extract(j, '$.l[*]') WHEN 'OBJECT' THEN [json_extract(j, '$.l')] END AS a FROM j2),
+ l1 AS (SELECT request_id, came, unnest(a) AS m, generate_subscripts(a, 1) - 1 AS i FROM l0),
+ v0 AS (SELECT request_id, came, i, m, CASE json_type(m, '$.vs') WHEN 'ARRAY' THEN json_extract(m, '$.vs[*]') WHEN 'OBJECT' THEN [json_extract(m, '$.vs')] END AS a FROM l1 WHERE json_type(m) = 'OBJECT'),
+ v1 AS (SELECT request_id, came, i, m, unnest(a) AS o, generate_subscripts(a, 1) - 1 AS k FROM v0),
+ t0 AS (SELECT request_id, CASE json_type(j, '$.vs') WHEN 'ARRAY' THEN json_extract(j, '$.vs[*]') WHEN 'OBJECT' THEN [json_extract(j, '$.vs')] END AS a FROM j2),
+ t1 AS (SELECT request_id, unnest(a) AS o, generate_subscripts(a, 1) - 1 AS k FROM t0)"""
+SQL: dict[str, str] = {
+    "p1_found": """WITH l AS (SELECT vehicle_id AS k, latitude AS a, longitude AS b FROM vehicle_positions_latest WHERE latitude BETWEEN -24 AND -23 AND longitude BETWEEN -47 AND -46),
+ r AS (SELECT zone_id, unnest(x) AS ring, generate_subscripts(x, 1) AS rn FROM (SELECT zone_id, regexp_extract_all(polygon_wkt, '\\(([^()]+)\\)', 1) AS x FROM zones)),
+ q AS (SELECT zone_id, rn, unnest(y) AS t, generate_subscripts(y, 1) AS i FROM (SELECT zone_id, rn, string_split(ring, ',') AS y FROM r)),
+ c AS (SELECT zone_id, rn, i, split_part(trim(t), ' ', 1)::DOUBLE AS x, split_part(trim(t), ' ', 2)::DOUBLE AS y FROM q),
+ e AS (SELECT zone_id, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM c WINDOW w AS (PARTITION BY zone_id, rn ORDER BY i))
+ SELECT 'near' AS pair_type, p.k AS key_a, o.k AS key_b FROM l p JOIN l o ON p.k < o.k AND abs(p.a - o.a) < 0.0004 AND abs(p.b - o.b) < 0.0004
+ WHERE 12742000.0 * asin(sqrt(pow(sin(radians(o.a - p.a) / 2), 2) + cos(radians(p.a)) * cos(radians(o.a)) * pow(sin(radians(o.b - p.b) / 2), 2))) <= 30
+ UNION ALL SELECT 'inside', k, zone_id::VARCHAR FROM l, e WHERE x2 IS NOT NULL AND (y1 > a) <> (y2 > a) AND b < x1 + (a - y1) * (x2 - x1) / (y2 - y1) GROUP BY k, zone_id HAVING count(*) % 2 = 1""",
+    "p2_found": f"""WITH {_JSON}, e AS (SELECT m ->> '$.cl' AS s, o ->> '$.p' AS p, came, CASE WHEN regexp_full_match(o ->> '$.ta', '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') THEN
+ try_cast(replace(regexp_replace(o ->> '$.ta', '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', ''), 'T', ' ') AS TIMESTAMP) - to_minutes(coalesce(try_cast(regexp_extract(o ->> '$.ta', ':[0-9.]+([+-][0-9]{{2}}):?[0-9]{{2}}$', 1) AS INT), 0) * 60) END AS ta FROM v1 WHERE json_type(o) = 'OBJECT'),
+ f AS (SELECT s, time_bucket(INTERVAL 10 MINUTES, ta) AS b, p, min(came) AS came FROM e WHERE s IS NOT NULL AND p IS NOT NULL AND ta IS NOT NULL GROUP BY 1, 2, 3),
+ k AS (SELECT data_source AS s, "timestamp" AS ts, time_bucket(INTERVAL 30 MINUTES, "timestamp") AS b, stale_percentage AS x, created_at AS came, id FROM kpi_realtime WHERE data_source IS NOT NULL),
+ kp AS (SELECT *, row_number() OVER (PARTITION BY s, ts ORDER BY came DESC, id DESC) AS rn FROM k WHERE came <= b + INTERVAL 32 MINUTES), kc AS (SELECT *, row_number() OVER (PARTITION BY s, ts ORDER BY came DESC, id DESC) AS rn FROM k WHERE came <= b + INTERVAL 90 MINUTES)
+ SELECT DISTINCT 'api_raw' AS source_name, s AS series_key, strftime(b, '%Y-%m-%d %H:%M:%S') AS period_start FROM f WHERE came > b + INTERVAL 12 MINUTES AND came <= b + INTERVAL 40 MINUTES
+ UNION ALL SELECT DISTINCT 'kpi_realtime', c.s, strftime(c.b, '%Y-%m-%d %H:%M:%S') FROM (SELECT * FROM kc WHERE rn = 1) c LEFT JOIN (SELECT * FROM kp WHERE rn = 1) p ON p.s = c.s AND p.ts = c.ts WHERE p.x IS DISTINCT FROM c.x""",
+    "p3_found": f"""WITH {_KEPT}, s AS (SELECT DISTINCT v, date_trunc('day', ts) AS d, time_bucket(INTERVAL 2 MINUTES, ts) AS s FROM k1 WHERE rn = 1 AND speed IS NOT NULL),
+ g AS (SELECT v, unnest(generate_series(min(s), max(s), INTERVAL 2 MINUTES)) AS s FROM s GROUP BY v, d) SELECT v AS vehicle_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS slot_start FROM g ANTI JOIN s USING (v, s)""",
+    "p5_found": f"WITH {_KEPT} SELECT row_id FROM k1 WHERE rn > 1",
+    "p7_found": f"""WITH {_JSON} SELECT request_id, i::INT AS line_pos, -1 AS vehicle_pos, coalesce(m ->> '$.cl', '') AS line_code, '' AS vehicle_prefix FROM l1 WHERE json_type(m) = 'OBJECT' AND (json_exists(m, '$.cl') OR json_exists(m, '$.sl') OR json_exists(m, '$.vs'))
+ UNION ALL SELECT request_id, i::INT, k::INT, coalesce(m ->> '$.cl', ''), coalesce(o ->> '$.p', '') FROM v1 WHERE json_type(o) = 'OBJECT' UNION ALL SELECT request_id, -1, k::INT, '', coalesce(o ->> '$.p', '') FROM t1 WHERE json_type(o) = 'OBJECT'""",
+}
