@@ -289,12 +289,12 @@ def m3_geocode_lookup(s, d):
     return out.select("vehicle_id", F.round("latitude", 3).alias("lat_key"), F.concat(F.lit("Zone "), F.floor(F.col("latitude") * 10).cast("int").cast("string")).alias("address"))
 
 
-@query(f"""WITH {DAILY} SELECT total_vehicles AS v, total_lines AS l, round(avg_speed_kmh, 4) AS s, peak_hour::INT AS h FROM daily LEFT JOIN peak USING (date) WHERE date = (SELECT max(received_at)::DATE FROM p)""")
+@query(f"""WITH {DAILY} SELECT strftime(date, '%Y-%m-%d') AS date, total_vehicles AS v, total_lines AS l, round(avg_speed_kmh, 4) AS s, peak_hour::INT AS h FROM daily LEFT JOIN peak USING (date)""")
 def m7_fleet_kpis_json(s, d):
-    g = kpi.gold_daily(tel(s, d)).join(F.broadcast(positions(s, d).agg(F.to_date(F.max("received_at")).alias("today")))).where("date = today")
-    doc = views.fleet_document(g)
-    kinds = "total_vehicles bigint, total_lines bigint, avg_speed_kmh double, peak_hour int"
-    return doc.select(F.from_json("document", kinds).alias("j")).select(F.col("j.total_vehicles").alias("v"), F.col("j.total_lines").alias("l"), F.round("j.avg_speed_kmh", 4).alias("s"), F.col("j.peak_hour").alias("h"))
+    doc = views.fleet_document(kpi.gold_daily(tel(s, d)))
+    j = F.from_json("document", "total_vehicles bigint, total_lines bigint, avg_speed_kmh double, peak_hour int")
+    out = doc.select(F.date_format("date", "yyyy-MM-dd").alias("date"), j.alias("j"))
+    return out.select("date", F.col("j.total_vehicles").alias("v"), F.col("j.total_lines").alias("l"), F.round("j.avg_speed_kmh", 4).alias("s"), F.col("j.peak_hour").alias("h"))
 
 
 @query(f"""WITH {HOURLY}, c AS (SELECT sum(vehicles_active)::BIGINT AS vehicles_now, round(avg(avg_speed_kmh), 6) AS speed_now, count(DISTINCT line_id) AS lines_now FROM hourly WHERE hour_timestamp = date_trunc('hour', (SELECT max(received_at) FROM p))),
