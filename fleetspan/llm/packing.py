@@ -56,10 +56,11 @@ def rounds(queues: dict[str, deque], share: dict[str, float], credit: dict[str,
     """Windows of (item, tokens): one deficit round each, until all queues are empty. ``credit`` is carried and updated."""
     while any(queues.values()):
         live = [s for s in queues if queues[s]]
-        scale = sum(share[s] for s in live) or 1.0
+        total = sum(share[s] for s in live)
+        part = {s: share[s] / total if total > 0 else 1 / len(live) for s in live}
         taken = []
         for s in live:
-            credit[s] += window * (share[s] / scale if scale else 1 / len(live))
+            credit[s] += window * part[s]
             q = queues[s]
             while q and q[0][1] <= credit[s]:
                 item = q.popleft()
@@ -67,12 +68,13 @@ def rounds(queues: dict[str, deque], share: dict[str, float], credit: dict[str,
                 taken.append(item)
             if not q:
                 credit[s] = min(credit[s], 0.0)
-        if not taken:  # every head is larger than its credit: let credit grow faster than one window at a time
-            need = min(max(queues[s][0][1] - credit[s], 1.0) / max(share[s] / scale, 1e-9) for s in live)
-            for s in live:
-                credit[s] += need * share[s] / scale
+        if taken:
+            yield taken
             continue
-        yield taken
+        # every head is larger than its credit: as many windows' credit at once as the first of them needs
+        need = min((queues[s][0][1] - credit[s]) / part[s] for s in live if part[s] > 0)
+        for s in live:
+            credit[s] += need * part[s]
 
 
 def pack_shelf(items: list[tuple], share: dict[str, float], credit: dict[str, float], capacity: int = CAPACITY, window_containers: int = WINDOW_CONTAINERS) -> list[tuple]:
@@ -121,13 +123,13 @@ def packed(sizes: DataFrame, key: str = "doc_id", size: str = "tokens", source:
     whole = sums.groupBy("shelf").agg(F.sum("own").alias("all_own"))
     part = F.create_map(*[F.lit(x) for s in sorted(share) for x in (s, share[s])]) if share else F.create_map(F.lit(""), F.lit(0.0))
     owed = grid.join(sums, ["shelf", "item_source"], "left").join(whole, "shelf").select("shelf", "item_source", (part[F.col("item_source")] * F.col("all_own") - F.coalesce("own", F.lit(0.0))).alias("lack"))
-    owed = owed.select(F.col("shelf").alias("owed_shelf"), "item_source", F.coalesce(F.sum("lack").over(before), F.lit(0.0)).alias("credit"))
+    owed = owed.select(F.col("shelf").alias("owed_shelf"), F.col("item_source").alias("owed_source"), F.coalesce(F.sum("lack").over(before), F.lit(0.0)).alias("credit"))
     key_type = dict(rows.dtypes)["item_key"]
     schema = f"`{key}` {key_type}, `{source}` string, piece int, first_token bigint, tokens bigint, container_id bigint, window_id bigint"
 
     def pack(items: pd.DataFrame, owing: pd.DataFrame) -> pd.DataFrame:
         items = items.sort_values("row_no", kind="stable")
-        credit = {s: 0.0 for s in share} | dict(zip(owing["item_source"], owing["credit"], strict=True))
+        credit = {s: 0.0 for s in share} | dict(zip(owing["owed_source"], owing["credit"], strict=True))
         got = pack_shelf(list(zip(items["item_source"], items["item_size"].astype(int).tolist(), strict=True)), share, credit, capacity)
         out = pd.DataFrame(got, columns=["n", "piece", "first_token", "tokens", "container_id", "window_id"])
         base = (int(items["shelf"].iloc[0]) if len(items) else 0) << 32

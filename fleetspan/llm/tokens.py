@@ -81,7 +81,7 @@ def cut_places(cp: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
     mixed = (cp.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(7)
     mixed ^= mixed >> np.uint32(11)
     h = np.zeros(len(cp), dtype=np.uint32)
-    for k in range(WINDOW):
+    for k in range(min(WINDOW, len(cp))):
         h[k:] += mixed[: len(cp) - k] * np.uint32(pow(31, k, 1 << 32))
     h ^= h >> np.uint32(15)
     cut = np.zeros(len(cp), dtype=bool)
