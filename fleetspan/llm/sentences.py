@@ -79,6 +79,7 @@ def char_symbols() -> np.ndarray:
             out[cp] = SYM["dig"]
         elif kind in ("Lo", "Lm", "Mn", "Mc"):
             out[cp] = SYM["cls"]
+    out[[0xAA, 0xBA]] = SYM["low"]  # ordinal signs
     for lo, hi, name in ((0x3400, 0x9FFF, "han"), (0xF900, 0xFAFF, "han"), (0x20000, 0x2FFFF, "han"), (0x3040, 0x30FF, "kana"), (0x31F0, 0x31FF, "kana"), (0xFF66, 0xFF9F, "kana"), (0x0E00, 0x0EFF, "thai")):
         out[lo : hi + 1] = SYM[name]
     for chars, name in (
@@ -119,7 +120,7 @@ def transducer() -> tuple[np.ndarray, np.ndarray]:
         rule(state, "ws", "trm_w")
         rule(state, openers, end=True)
     rule("trm", words | {"com", "dash", "op"}, "txt")
-    rule("trm", {"han", "kana", "quot"}, end=True)
+    rule("trm", {"han", "kana", "quot", "thai", "cls"}, end=True)
     rule("trmc", words | {"dash", "op"}, end=True)
     rule("trm_w", set(SYMBOLS) - {"ws", "para"}, end=True)
     rule("trm_w", "ws", "trm_w")

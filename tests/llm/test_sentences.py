@@ -38,6 +38,8 @@ def test_sentences_with_blanks(parts):
         ["司机说：“关门了。明天来吧。”然后就开走了。", "真的吗？！", "数据又中断了……", "No.7号站台见第3.2节。", "“没有车。”检查员说。"],
         ["「本当ですか？」", "「遅い！」と乗客が叫んだ。", "雨だった……それでも待った。", "３．５キロ延びた。", "なぜ出ないのか？"],
         ["O café fechou.", "站台没有雨棚。"],
+        ["O café fechou.", "왜 없습니까?"],
+        ["No 1.º andar.", "ระบบหยุดทำงาน"],
     ],
 )
 def test_scripts_without_blanks(parts):
