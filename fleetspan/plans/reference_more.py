@@ -341,3 +341,73 @@ def n13_health(s, d):
 def k6_places(s, d):
     lat, lon = F.col("latitude"), F.col("longitude")
     return table(s, d, "vehicle_positions_latest").agg(F.count_if(~lat.between(BOXES["wide"][0], BOXES["wide"][1])).alias("outside"), F.count_if(lat.isNull() | lon.isNull()).alias("unplaced"), F.count("*").alias("n"))
+
+
+# --- the rest of the inventory ---------------------------------------------------------------------------------------
+
+
+@query("SELECT line_id, count(*) AS measurements, round(avg(avg_speed), 6) AS avg_speed, round(stddev_samp(avg_speed), 5) AS std_speed, round(avg(coverage_area_km2) / nullif(avg(total_vehicles) / 60.0, 0), 5) AS area_per_vehicle_hour FROM kpi_by_line GROUP BY 1")
+def e22_route_metrics(s, d):
+    g = table(s, d, "kpi_by_line").groupBy("line_id")
+    ratio = F.try_divide(F.avg("coverage_area_km2"), F.avg("total_vehicles") / 60.0)
+    return g.agg(F.count("*").alias("measurements"), F.round(F.avg("avg_speed"), 6).alias("avg_speed"), F.round(F.stddev_samp("avg_speed"), 5).alias("std_speed"), F.round(ratio, 5).alias("area_per_vehicle_hour"))
+
+
+@query("SELECT data_source AS stage, CASE WHEN stale_percentage > 10 THEN 'WARNING' ELSE 'OK' END AS status, round(avg(coverage_percentage), 6) AS avg_score, count(*) AS checks, strftime(max(\"timestamp\"), '%Y-%m-%d %H:%M:%S') AS last_check FROM kpi_realtime GROUP BY 1, 2")
+def e28_quality_summary(s, d):
+    k = table(s, d, "kpi_realtime").withColumn("status", F.when(F.col("stale_percentage") > 10, "WARNING").otherwise("OK"))
+    return k.groupBy(F.col("data_source").alias("stage"), "status").agg(F.round(F.avg("coverage_percentage"), 6).alias("avg_score"), F.count("*").alias("checks"), text(F.max("timestamp")).alias("last_check"))
+
+
+@query("SELECT endpoint, count(*) AS calls, round(count_if(response_status = 200) * 100.0 / count(*), 6) AS success_percent, max(length(raw_json)) AS longest FROM api_raw GROUP BY 1")
+def e33_call_statistics(s, d):
+    g = table(s, d, "api_raw").groupBy("endpoint")
+    return g.agg(F.count("*").alias("calls"), F.round(F.count_if(F.col("response_status") == 200) * 100.0 / F.count("*"), 6).alias("success_percent"), F.max(F.length("raw_json")).cast("bigint").alias("longest"))
+
+
+@query("SELECT request_id, endpoint, response_status FROM api_raw ORDER BY request_timestamp DESC, request_id DESC LIMIT 100")
+def g7_recent_calls(s, d):
+    return table(s, d, "api_raw").orderBy(F.desc("request_timestamp"), F.desc("request_id")).limit(100).select("request_id", "endpoint", "response_status")
+
+
+@query("SELECT id, data_source, stale_percentage FROM kpi_realtime WHERE stale_percentage > 10")
+def g11_active_alerts(s, d):
+    return table(s, d, "kpi_realtime").where("stale_percentage > 10").select("id", "data_source", "stale_percentage")
+
+
+@query("""SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS at, line_id, avg_speed FROM kpi_by_line WHERE avg_speed IS NOT NULL""")
+def g12_speed_series(s, d):
+    return table(s, d, "kpi_by_line").where("avg_speed is not null").select(text("timestamp").alias("at"), "line_id", "avg_speed")
+
+
+@query(f"""WITH {P}, f AS (SELECT *, (vehicle_id IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND ts IS NOT NULL) AS full_row FROM p), a AS (SELECT count_if(full_row) * 100.0 / count(*) AS c, count_if(latitude BETWEEN -23.9 AND -23.3 AND longitude BETWEEN -46.9 AND -46.3) * 100.0 / count(*) AS x,
+ count_if(epoch_us(now) - epoch_us(ts) <= 600000000) * 100.0 / count(*) AS t FROM f, clock), b AS (SELECT sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) * 100.0 / sum(n) AS k, count(*) * 100.0 / sum(n) AS u FROM (SELECT count(*) AS n FROM p GROUP BY vehicle_id, ts)),
+ w AS (SELECT 0.30 * c + 0.25 * x + 0.20 * k + 0.15 * t + 0.10 * u AS score FROM a, b) SELECT round(score, 6) AS score, CASE WHEN score >= 95 THEN 'Excellent' WHEN score >= 90 THEN 'Good' WHEN score >= 85 THEN 'Acceptable' ELSE 'Critical' END AS band FROM w""")
+def k17_weighted_score(s, d):
+    p = positions(s, d)
+    four = quality.four_dimensions(with_clock(p), F.col("now"), ["vehicle_id", "ts"])
+    unique = p.groupBy("vehicle_id", "ts").count().agg((F.count("*") * 100.0 / F.sum("count")).alias("uniqueness"))
+    score = quality.weighted_score({c: F.col(c) for c in ("completeness", "accuracy", "consistency", "timeliness", "uniqueness")})
+    return four.join(F.broadcast(unique)).select(F.round(score, 6).alias("score"), quality.score_band(score).alias("band"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) - count({k}) AS null_keys, (SELECT count(*) FROM (SELECT {k} FROM {t} WHERE {k} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys FROM {t}" for t, k in (("routes", "route_id"), ("zones", "zone_id"), ("vehicle_positions_latest", "vehicle_id"), ("api_raw", "request_id"))))
+def k19_table_report(s, d):
+    out = []
+    for t, k in (("routes", "route_id"), ("zones", "zone_id"), ("vehicle_positions_latest", "vehicle_id"), ("api_raw", "request_id")):
+        df = table(s, d, t)
+        repeated = df.where(F.col(k).isNotNull()).groupBy(k).count().where("count > 1").agg(F.count("*").alias("repeated_keys"))
+        out.append(df.agg(F.lit(t).alias("table_name"), F.count("*").alias("rows"), (F.count("*") - F.count(k)).alias("null_keys")).join(F.broadcast(repeated)))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@query("SELECT line_id, count(DISTINCT vehicle_id) AS vehicles_active, round(avg(speed), 6) AS avg_speed FROM vehicle_positions_latest WHERE \"timestamp\" > (SELECT max(\"timestamp\") FROM vehicle_positions_latest) - INTERVAL 30 MINUTES GROUP BY 1")
+def m6_active_lines(s, d):
+    p = table(s, d, "vehicle_positions_latest").withColumn("ts", F.col("timestamp").cast("timestamp"))
+    return views.active_lines(s, p, 30).select("line_id", "vehicles_active", F.round("avg_speed", 6).alias("avg_speed"))
+
+
+@query(f"WITH {P} SELECT year(ts)::INT AS year, month(ts)::INT AS month, count(*) AS n, ts < (SELECT max(received_at) FROM p) - INTERVAL 90 DAYS AS expired FROM p WHERE ts IS NOT NULL GROUP BY ALL")
+def n4_month_partitions(s, d):
+    p = with_clock(positions(s, d)).where("ts is not null")
+    return p.groupBy(F.year("ts").alias("year"), F.month("ts").alias("month"), F.expr("ts < now - interval 90 days").alias("expired")).agg(F.count("*").alias("n"))
