@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fleetspan.functions.clock import MICROS, micros
 from fleetspan.functions.vehicle import bare_vehicle
+from fleetspan.sources.sinks import exists
 
 BUCKET_SECONDS = 3600
 SEGMENTS = 256
@@ -146,3 +147,67 @@ def surplus_rows(df: DataFrame, source: str = "vehicle_id", time: str = "timesta
         yield pa.RecordBatch.from_arrays([pa.array(few["arrival"][few.duplicated(["source_key", "event_us"])], pa.int64())], ["arrival"])
 
     return laid.select("source_key", "event_us", "arrival", "id_hash", "surplus", "bucket").mapInArrow(verify, "arrival bigint")
+
+
+class DeliveryLog:
+    """Identifiers seen so far, on shared storage, for deliveries that come batch by batch.
+
+    ``filters/gen=<n>`` holds one Bloom filter for each (bucket, segment) and batch that touched it, ``ids/gen=<n>/bucket=<b>`` the
+    identifiers. A batch reads the filters of its own buckets only; rows that no filter knows are new, the possible repeats
+    are verified by an anti join with the stored identifiers of the buckets they fall in. A batch that is ingested again under its number writes the same files.
+    """
+
+    FILTERS = "bucket bigint, segment int, size bigint, bits binary"
+
+    def __init__(self, path: str, bucket_seconds: int = BUCKET_SECONDS, segments: int = 16):
+        self.path, self.bucket_seconds, self.segments = path, bucket_seconds, segments
+
+    def _stored(self, spark, name: str, before: int) -> DataFrame | None:
+        if not exists(spark, f"{self.path}/{name}"):
+            return None
+        return spark.read.parquet(f"{self.path}/{name}").where(F.col("gen") < before)
+
+    def ingest(self, batch: DataFrame, number: int, source: str = "vehicle_id", time: str = "timestamp", order: str = "row_id") -> DataFrame:
+        """The identifiers of the batch that are new (``source_key``, ``event_us``, ``arrival``), once each; they are then stored.
+
+        ``number`` has to grow from batch to batch. Rows without source, time or order are left out.
+        """
+        spark = batch.sparkSession
+        ids = identified(batch, source, time, order).withColumns({"bucket": F.floor(F.col("event_us") / (self.bucket_seconds * MICROS)), "segment": F.pmod("id_hash", F.lit(self.segments)).cast("int")})
+        one = ids.groupBy("bucket", "segment", "source_key", "event_us", "id_hash").agg(F.min("arrival").alias("arrival"))
+        filters = self._stored(spark, "filters", number)
+        fresh = one
+        if filters is not None:
+            marked = self._screened(one, filters)
+            maybe, new = marked.where("maybe"), marked.where("not maybe").drop("maybe")
+            stored = self._stored(spark, "ids", number).select("bucket", "source_key", "event_us")
+            fresh = new.unionByName(maybe.drop("maybe").join(stored, ["bucket", "source_key", "event_us"], "left_anti"))
+        out = f"{self.path}/ids/gen={number}"
+        fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
+        written = spark.read.schema("segment int, source_key string, event_us bigint, id_hash bigint, arrival bigint, bucket bigint").parquet(out)
+        self._filters_of(written).write.mode("overwrite").parquet(f"{self.path}/filters/gen={number}")
+        return written.select("source_key", "event_us", "arrival")
+
+    def _filters_of(self, ids: DataFrame) -> DataFrame:
+        def build(keys: tuple, t: pa.Table) -> pa.Table:
+            blooms = BucketBlooms(np.array([t.num_rows]))
+            h = t.column("id_hash").to_numpy()
+            blooms.add(blooms.places(np.zeros(len(h), dtype=np.int64), h))
+            return pa.table({"bucket": pa.array([keys[0].as_py()], pa.int64()), "segment": pa.array([keys[1].as_py()], pa.int32()), "size": pa.array([int(blooms.size[0])]), "bits": pa.array([blooms.bits.tobytes()], pa.binary())})
+
+        return ids.groupBy("bucket", "segment").applyInArrow(build, self.FILTERS)
+
+    def _screened(self, ids: DataFrame, filters: DataFrame) -> DataFrame:
+        cols = ["bucket", "segment", "source_key", "event_us", "id_hash", "arrival"]
+
+        def screen(left: pa.Table, right: pa.Table) -> pa.Table:
+            h = left.column("id_hash").to_numpy()
+            known = np.zeros(len(h), dtype=bool)
+            for size, bits in zip(right.column("size").to_pylist(), right.column("bits").to_pylist(), strict=True):
+                blooms = BucketBlooms(np.array([0]))
+                blooms.size, blooms.bits = np.array([size]), np.frombuffer(bits, dtype=np.uint8)
+                known |= blooms.seen(blooms.places(np.zeros(len(h), dtype=np.int64), h))
+            return left.select(cols).append_column("maybe", pa.array(known))
+
+        rows = ids.select(*cols).groupBy("bucket", "segment").cogroup(filters.select("bucket", "segment", "size", "bits").groupBy("bucket", "segment"))
+        return rows.applyInArrow(screen, "bucket bigint, segment int, source_key string, event_us bigint, id_hash bigint, arrival bigint, maybe boolean")

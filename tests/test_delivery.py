@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 
-from fleetspan.operators.delivery import possible_repeats, surplus_rows
+from fleetspan.operators.delivery import DeliveryLog, possible_repeats, surplus_rows
 
 T0 = datetime(2018, 1, 1, 5)
 DDL = "row_id bigint, vehicle_id string, timestamp timestamp, arrival string, bucket string, surplus int"
@@ -59,3 +59,18 @@ def test_filters_never_miss_a_repeat():
     uniq, n = np.unique(key, return_counts=True)
     assert set(uniq[n > 1].tolist()) <= got
     assert len(got) < len(uniq[n > 1]) + 0.02 * len(uniq)
+
+
+def test_batches_through_the_log(spark, tmp_path):
+    r = random.Random(8)
+    rows = [(i, r.choice([None, "7", " 7", "8", "10000009"]), r.choice([None, *(T0 + timedelta(minutes=41 * k) for k in range(60))])) for i in range(900)]
+    log, kept = DeliveryLog(str(tmp_path)), []
+    for n in range(3):
+        part = frame(spark, rows[n * 300 : (n + 1) * 300])
+        kept += [x["arrival"] for x in log.ingest(part, n).collect()]
+    again = sorted(x["arrival"] for x in log.ingest(frame(spark, rows[600:]), 2).collect())
+    surplus = set(brute(rows))
+    want = sorted(i for i, v, t in rows if i not in surplus and t is not None and v is not None)
+    assert sorted(kept) == want and again == [i for i in want if i >= 600]
+    assert log.ingest(frame(spark, rows[:300]), 3).count() == 0
+    assert log.ingest(frame(spark, []), 4).count() == 0
