@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +25,20 @@ def build_session(app: str = "fleetspan", master: str | None = None, overrides:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One parquet table of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Gives the executors this package, once per context; they need neither the repository nor a search path.
+
+    Spark distributes the archive; the temporary file is only the driver's copy of it.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_fleetspan_shipped", False):
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="fleetspan-")) / "fleetspan.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))
+        sc._fleetspan_shipped = True
+    return spark

@@ -66,3 +66,15 @@ def test_found_columns(spark):
     }
     for name, kinds in want.items():
         assert contract.queries()[name](spark, DIR).dtypes == kinds
+
+
+def test_workers_need_no_search_path(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(contract.__file__).parent)
+    code = f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e; from pyspark.sql import SparkSession; s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); print('ROWS', e.queries()['p5_found'](s, {DIR!r}).count())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
