@@ -38,7 +38,7 @@ class Limits:
     drift_m: float = 20.0
     walk_kmh: float = 3.0
     alpha: float = 0.2
-    most: float = 0.25
+    most: float = 0.1
     least_scale: float = 1.0
 
 
