@@ -119,13 +119,35 @@ def stationary(st: Stretches, speed: np.ndarray, step_ms: np.ndarray, step_s: np
     return state == 0
 
 
+def _seeds(i: int, j: int, lo: int, hi: int, lat: np.ndarray, lon: np.ndarray, us: np.ndarray, rules: TripRules) -> list[tuple[int, int]]:
+    """Places within a stationary segment: the segment itself if one place holds it all, else the series in it that stay at one place long enough.
+
+    A segment can hold more than one place, or slow driving besides one.
+    """
+    near = metres(np.median(lat[i : j + 1]), np.median(lon[i : j + 1]), lat[i : j + 1], lon[i : j + 1]) <= rules.radius_m
+    if near.all():
+        return [(i, j)]
+    out, k, last = [], max(lo, i - 2), min(hi, j + 2)
+    while k < last:
+        y, x, n, m = float(lat[k]), float(lon[k]), 1, k
+        while m < last and metres(y / n, x / n, lat[m + 1], lon[m + 1]) <= rules.radius_m:
+            m, n = m + 1, n + 1
+            y, x = y + float(lat[m]), x + float(lon[m])
+        if us[m] - us[k] >= rules.stop_seconds * MICROS:
+            out.append((k, m))
+            k = m
+        k += 1
+    return out
+
+
 def _stops_of(lo: int, hi: int, still: np.ndarray, lat: np.ndarray, lon: np.ndarray, us: np.ndarray, rules: TripRules) -> list[tuple[int, int]]:
     """Stops (first and last row) of the stretch lo..hi, in order, apart from each other."""
     out: list[tuple[int, int]] = []
     flag = still[lo : hi + 1].astype(np.int8)
     edge = np.diff(np.concatenate([[0], flag, [0]]))
     floor = lo
-    for i, j in zip(lo + np.flatnonzero(edge == 1), lo + np.flatnonzero(edge == -1) - 1, strict=True):
+    segments = zip((lo + np.flatnonzero(edge == 1)).tolist(), (lo + np.flatnonzero(edge == -1) - 1).tolist(), strict=True)
+    for i, j in (seed for a, b in segments for seed in _seeds(a, b, lo, hi, lat, lon, us, rules)):
         i = max(i, floor)
         if i > j:
             continue
