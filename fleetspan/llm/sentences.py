@@ -151,7 +151,8 @@ def transducer() -> tuple[np.ndarray, np.ndarray]:
     rule("abm", "upp", end=True)
     rule("abm_w", "ws", "abm_w")
     rule("abm_w", {"upp", "dig", "oth", "dq"} | openers, end=True)
-    rule("abm_w", {"low", "cls", "han", "kana", "quot", "com", "dash"}, "txt")
+    rule("abm_w", {"low", "cls", "han", "kana", "quot", "com"}, "txt")
+    rule("abm_w", "dash", "dsh")
     rule("abm_w", "op", "abm_op")
     rule("abm_op", set(SYMBOLS) - {"para", "low", "ws"}, end=True)
     rule("abm_op", "low", "txt")

@@ -17,6 +17,7 @@ def cut(text):
         ["O Sr. Silva parou a 3,5 km da Av. Central.", "Depois seguiu, às 14h30."],
         ['O motorista disse: "Acabou. Voltem amanhã." e foi embora.', '"Chega!" gritou alguém.', 'A placa dizia "Volto já."', "Nada mais."],
         ["– Vai demorar? – perguntou ela.", "Sim."],
+        ["Foram vans etc.", "– Vai demorar? – perguntou ela.", "Levou 5 min. – disse ela."],
         ["não passou de novo.", "oi, tem alguém???", "valeu!"],
         ["Às vezes vem… e às vezes não.", "Parou…", "Depois andou."],
         ["Levou 20 min. na ida.", "Foram ônibus, vans etc.", "A Foo Ltda. e a Bar S.A. dividem."],
