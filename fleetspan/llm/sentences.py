@@ -46,18 +46,16 @@ BLANK_LINE = re.compile(rf"(?:{NL}[^\S\r\n\x0b\x0c\x85 ]*){{2,}}| ")
 ITEM = re.compile(r"(?m)^[^\S\r\n]*(?:([-*•‣◦▪])|(\d{1,3})[.)]|[a-z]\))[^\S\r\n]+(?=\S)")
 DOTS = re.compile(r"\.{2,}|…{2,}")
 _alt = lambda words: "|".join(sorted(map(re.escape, words), key=len, reverse=True))
-INNER = re.compile(
-    rf"(?<![\w])(?:{_alt(GO_ON)})\."
-    r"|(?<![\w.])[A-ZÀ-ÖØ-Þ]\.(?=\s|-)"  # an initial
-    r"|(?<![\w.])(?:i\.\s?e|e\.\s?g|z\.\s?B|d\.\s?h|u\.\s?a|o\.\s?ä|p\.\s?ex|p\.\s?ej)\."
-    r"|(?<![\w])(?:[Nn]o|[Nn]os|[Nn]|[Ss]ec|[Pp]t|[Cc]h|[Pp]ara|[Cc]l|[Rr]ev)\.(?=\s*\d)"
-    r"|(?<![\w])[ء-ي]\.|(?<!\S)(?:डॉ|श्री|प्रो|सु)\."
-    rf"|(?<![\w.,])\d{{1,2}}\.(?=\s+(?:{_alt(AFTER_ORDINAL)})\b)|(?:(?<=\b[IiAa]m )|(?<=\b[VvZz][ou]m )|(?<=\bde[rnms] ))\d{{1,2}}\.(?=\s)"
-)
+NUMBERED = frozenset("No no Nos nos N n Sec sec Pt pt Ch ch Para para Cl cl Rev rev".split())  # go on before a number
+WITH_DIGNITY = frozenset(["डॉ", "श्री", "प्रो", "सु"])
+PAIRS = {"e": "i", "g": "e", "B": "z", "h": "d", "a": "u", "ä": "o", "ex": "p", "ej": "p"}  # second part of an abbreviation of two -> first
+GO_ON_WORDS, ORDINALS = frozenset(GO_ON), tuple(AFTER_ORDINAL)
+BEFORE_ORDINAL = re.compile(r"\b(?:[IiAa]m|[VvZz][ou]m|de[rnms]) $")
+LONGEST = max(map(len, GO_ON))
 #: An end mark that the next sentence follows without a blank: a capital, or what leads into Han or kana.
 TIGHT = re.compile(
-    r"(?:(?<=[^\W\d_]{2})|(?<=[^\w\s.,;:/@#-]))[.!?](?=[A-ZÀ-ÝＡ-Ｚ]|[0-9][\w.:．-]{0,30}[\u3040-\u30ff\u3400-\u9fff])"
-    r"|(?<=[.!?])[)\]](?=[A-ZÀ-Ý])"
+    r"[.!?](?:(?<=[^\W\d_]{2}[.!?])|(?<=[^\w\s.,;:/@#-][.!?]))(?=[A-ZÀ-ÝＡ-Ｚ]|[0-9][\w.:．-]{0,30}[\u3040-\u30ff\u3400-\u9fff])"
+    r"|[)\]](?<=[.!?][)\]])(?=[A-ZÀ-Ý])"
 )
 ENDING = re.compile(rf"(?<![\w])(?:(?:{_alt(MAY_END)})\.|(?:[A-ZÀ-ÖØ-Þ]\.\s?){{2,}}(?<!\s)(?=\s|$|[^\w\s])|[ap]\.\s?m\.)")
 
@@ -187,6 +185,37 @@ def transducer() -> tuple[np.ndarray, np.ndarray]:
     return nxt, ends
 
 
+def inner_stops(text: str, cp: np.ndarray) -> np.ndarray:
+    """Places of full stops that belong to an abbreviation, an initial or an ordinal after which a sentence goes on.
+
+    Only the words before full stops are looked at, in sets.
+    """
+    kind = char_symbols()[cp]
+    word = ((kind >= SYM["low"]) & (kind <= SYM["dig"])) | (cp == 95)
+    dots = np.flatnonzero(cp == 46)
+    dots = dots[dots > 0]
+    begin = np.maximum.accumulate(np.where(word, -1, np.arange(len(cp))))[dots - 1] + 1
+    size = dots - begin
+    short = (size > 0) & (size <= LONGEST)
+    out: list[int] = []
+    for i, dot in zip(begin[short].tolist(), dots[short].tolist(), strict=True):
+        w, after = text[i:dot], text[dot + 1 : dot + 2]
+        before = text[i - 1 : i]
+        if w in GO_ON_WORDS or w in WITH_DIGNITY:
+            out.append(dot)
+        elif w in NUMBERED and text[dot + 1 : dot + 12].lstrip()[:1].isdigit():
+            out.append(dot)
+        elif w in PAIRS and text[max(0, i - 3) : i].rstrip().endswith(PAIRS[w] + ".") and not text[max(0, i - 4) : i].rstrip()[:-2][-1:].isalnum():
+            out += [dot, text.rindex(".", 0, i)]
+        elif len(w) == 1 and ((w.isupper() and before != "." and (after.isspace() or after == "-")) or "ء" <= w <= "ي"):
+            out.append(dot)
+        elif len(w) <= 2 and w.isdigit() and before not in (".", ","):
+            rest = text[dot + 1 : dot + 20]
+            if (rest[:1].isspace() and rest.lstrip().startswith(ORDINALS)) or (rest[:1].isspace() and BEFORE_ORDINAL.search(text, max(0, i - 4), i)):
+                out.append(dot)
+    return np.array(out, dtype=np.int64)
+
+
 def symbols_of(text: str, cp: np.ndarray) -> np.ndarray:
     """Symbols of a text, with the patterns applied."""
     sym = char_symbols()[cp]
@@ -199,10 +228,9 @@ def symbols_of(text: str, cp: np.ndarray) -> np.ndarray:
         part = sym[a:b]
         part[part == SYM["ta"]] = SYM["oth"]
         sym[b - 1] = SYM["abm"]
-    for m in INNER.finditer(text):
-        a, b = m.span()
-        part = sym[a:b]
-        part[(part == SYM["ta"]) | (part == SYM["tc"]) | (part == SYM["abm"])] = SYM["oth"]
+    at = inner_stops(text, cp)
+    at = at[np.isin(sym[at], (SYM["ta"], SYM["tc"], SYM["abm"]))]
+    sym[at] = SYM["oth"]
     for m in BLANK_LINE.finditer(text):
         sym[m.start()] = SYM["para"]
     last, last_at = None, -1
