@@ -125,9 +125,9 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_series(spark: SparkSession, d: str) -> DataFrame:
-    """The regular speed series."""
+    """The regular speed series. The tiny addend rounds ties up whatever the order of the sums."""
     s = regular_series(table(spark, d, "vehicle_positions"))
-    return s.select(F.col("source_key").alias("vehicle_id"), second_text(F.col("slot_us")).alias("slot_start"), "readings", F.round("mean_value", 6).alias("mean_speed"), F.round("coverage", 6).alias("coverage"), "filled")
+    return s.select(F.col("source_key").alias("vehicle_id"), second_text(F.col("slot_us")).alias("slot_start"), "readings", F.round(F.col("mean_value") + 1e-9, 6).alias("mean_speed"), F.round("coverage", 6).alias("coverage"), "filled")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -191,6 +191,11 @@ _JSON = """j0 AS (SELECT request_id, request_timestamp AS came, CASE WHEN json_v
  v1 AS (SELECT request_id, came, i, m, unnest(a) AS o, generate_subscripts(a, 1) - 1 AS k FROM v0),
  t0 AS (SELECT request_id, CASE json_type(j, '$.vs') WHEN 'ARRAY' THEN json_extract(j, '$.vs[*]') WHEN 'OBJECT' THEN [json_extract(j, '$.vs')] END AS a FROM j2),
  t1 AS (SELECT request_id, unnest(a) AS o, generate_subscripts(a, 1) - 1 AS k FROM t0)"""
+_EVENTS = f"""{_JSON}, e AS (SELECT m ->> '$.cl' AS s, o ->> '$.p' AS p, came, CASE WHEN regexp_full_match(o ->> '$.ta', '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') THEN
+ try_cast(replace(regexp_replace(o ->> '$.ta', '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', ''), 'T', ' ') AS TIMESTAMP) - to_minutes(coalesce(try_cast(regexp_extract(o ->> '$.ta', ':[0-9.]+([+-][0-9]{{2}}):?[0-9]{{2}}$', 1) AS INT), 0) * 60) END AS ta FROM v1 WHERE json_type(o) = 'OBJECT'),
+ f AS (SELECT s, time_bucket(INTERVAL 10 MINUTES, ta) AS b, p, min(came) AS came FROM e WHERE s IS NOT NULL AND p IS NOT NULL AND ta IS NOT NULL GROUP BY 1, 2, 3),
+ k AS (SELECT data_source AS s, "timestamp" AS ts, time_bucket(INTERVAL 30 MINUTES, "timestamp") AS b, stale_percentage AS x, created_at AS came, id FROM kpi_realtime WHERE data_source IS NOT NULL),
+ kp AS (SELECT *, row_number() OVER (PARTITION BY s, ts ORDER BY came DESC, id DESC) AS rn FROM k WHERE came <= b + INTERVAL 32 MINUTES), kc AS (SELECT *, row_number() OVER (PARTITION BY s, ts ORDER BY came DESC, id DESC) AS rn FROM k WHERE came <= b + INTERVAL 90 MINUTES)"""
 SQL: dict[str, str] = {
     "p1_found": """WITH l AS (SELECT vehicle_id AS k, latitude AS a, longitude AS b FROM vehicle_positions_latest WHERE latitude BETWEEN -24 AND -23 AND longitude BETWEEN -47 AND -46),
  r AS (SELECT zone_id, unnest(x) AS ring, generate_subscripts(x, 1) AS rn FROM (SELECT zone_id, regexp_extract_all(polygon_wkt, '\\(([^()]+)\\)', 1) AS x FROM zones)),
@@ -200,13 +205,16 @@ SQL: dict[str, str] = {
  SELECT 'near' AS pair_type, p.k AS key_a, o.k AS key_b FROM l p JOIN l o ON p.k < o.k AND abs(p.a - o.a) < 0.0004 AND abs(p.b - o.b) < 0.0004
  WHERE 12742000.0 * asin(sqrt(pow(sin(radians(o.a - p.a) / 2), 2) + cos(radians(p.a)) * cos(radians(o.a)) * pow(sin(radians(o.b - p.b) / 2), 2))) <= 30
  UNION ALL SELECT 'inside', k, zone_id::VARCHAR FROM l, e WHERE x2 IS NOT NULL AND (y1 > a) <> (y2 > a) AND b < x1 + (a - y1) * (x2 - x1) / (y2 - y1) GROUP BY k, zone_id HAVING count(*) % 2 = 1""",
-    "p2_found": f"""WITH {_JSON}, e AS (SELECT m ->> '$.cl' AS s, o ->> '$.p' AS p, came, CASE WHEN regexp_full_match(o ->> '$.ta', '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') THEN
- try_cast(replace(regexp_replace(o ->> '$.ta', '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', ''), 'T', ' ') AS TIMESTAMP) - to_minutes(coalesce(try_cast(regexp_extract(o ->> '$.ta', ':[0-9.]+([+-][0-9]{{2}}):?[0-9]{{2}}$', 1) AS INT), 0) * 60) END AS ta FROM v1 WHERE json_type(o) = 'OBJECT'),
- f AS (SELECT s, time_bucket(INTERVAL 10 MINUTES, ta) AS b, p, min(came) AS came FROM e WHERE s IS NOT NULL AND p IS NOT NULL AND ta IS NOT NULL GROUP BY 1, 2, 3),
- k AS (SELECT data_source AS s, "timestamp" AS ts, time_bucket(INTERVAL 30 MINUTES, "timestamp") AS b, stale_percentage AS x, created_at AS came, id FROM kpi_realtime WHERE data_source IS NOT NULL),
- kp AS (SELECT *, row_number() OVER (PARTITION BY s, ts ORDER BY came DESC, id DESC) AS rn FROM k WHERE came <= b + INTERVAL 32 MINUTES), kc AS (SELECT *, row_number() OVER (PARTITION BY s, ts ORDER BY came DESC, id DESC) AS rn FROM k WHERE came <= b + INTERVAL 90 MINUTES)
- SELECT DISTINCT 'api_raw' AS source_name, s AS series_key, strftime(b, '%Y-%m-%d %H:%M:%S') AS period_start FROM f WHERE came > b + INTERVAL 12 MINUTES AND came <= b + INTERVAL 40 MINUTES
+    "p2_found": f"""WITH {_EVENTS} SELECT DISTINCT 'api_raw' AS source_name, s AS series_key, strftime(b, '%Y-%m-%d %H:%M:%S') AS period_start FROM f WHERE came > b + INTERVAL 12 MINUTES AND came <= b + INTERVAL 40 MINUTES
  UNION ALL SELECT DISTINCT 'kpi_realtime', c.s, strftime(c.b, '%Y-%m-%d %H:%M:%S') FROM (SELECT * FROM kc WHERE rn = 1) c LEFT JOIN (SELECT * FROM kp WHERE rn = 1) p ON p.s = c.s AND p.ts = c.ts WHERE p.x IS DISTINCT FROM c.x""",
+    "p2_figures": f"""WITH {_EVENTS}, a AS (SELECT s, b, count(*) FILTER (WHERE came <= b + INTERVAL 12 MINUTES) AS p, count(*) FILTER (WHERE came <= b + INTERVAL 40 MINUTES) AS c FROM f GROUP BY 1, 2)
+ SELECT 'api_raw' AS source_name, s AS series_key, strftime(b, '%Y-%m-%d %H:%M:%S') AS period_start, p AS n_published, c AS n_corrected, CASE WHEN p > 0 THEN 1.0::DOUBLE END AS mean_published, 1.0::DOUBLE AS mean_corrected FROM a WHERE c > 0
+ UNION ALL SELECT 'kpi_realtime', c.s, strftime(c.b, '%Y-%m-%d %H:%M:%S'), count(p.x), count(c.x), round(avg(p.x), 6), round(avg(c.x), 6) FROM (SELECT * FROM kc WHERE rn = 1) c LEFT JOIN (SELECT * FROM kp WHERE rn = 1) p ON p.s = c.s AND p.ts = c.ts GROUP BY c.s, c.b""",
+    "p3_series": f"""WITH {_KEPT}, r AS (SELECT v, ts, speed AS x, time_bucket(INTERVAL 2 MINUTES, ts) AS c, date_trunc('day', ts) AS d FROM k1 WHERE rn = 1 AND speed IS NOT NULL),
+ n AS (SELECT *, lead(ts) OVER (PARTITION BY v, d ORDER BY ts) AS nx FROM r),
+ g AS (SELECT *, unnest(generate_series(c, coalesce(time_bucket(INTERVAL 2 MINUTES, nx), c), INTERVAL 2 MINUTES)) AS s, least(coalesce(epoch_us(nx), epoch_us(c) + 120000000), epoch_us(ts) + 600000000) AS e FROM n),
+ o AS (SELECT v, s, s = c AS own, x, greatest(0, least(e, epoch_us(s) + 120000000) - greatest(epoch_us(ts), epoch_us(s))) AS w FROM g)
+ SELECT v AS vehicle_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS slot_start, count(*) FILTER (WHERE own) AS readings, round(CASE WHEN sum(w) > 0 THEN sum(x * w) / sum(w) ELSE avg(x) FILTER (WHERE own) END + 1e-9, 6) AS mean_speed, round(sum(w) / 120000000.0, 6) AS coverage, count(*) FILTER (WHERE own) = 0 AS filled FROM o GROUP BY v, s""",
     "p3_found": f"""WITH {_KEPT}, s AS (SELECT DISTINCT v, date_trunc('day', ts) AS d, time_bucket(INTERVAL 2 MINUTES, ts) AS s FROM k1 WHERE rn = 1 AND speed IS NOT NULL),
  g AS (SELECT v, unnest(generate_series(min(s), max(s), INTERVAL 2 MINUTES)) AS s FROM s GROUP BY v, d) SELECT v AS vehicle_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS slot_start FROM g ANTI JOIN s USING (v, s)""",
     "p5_found": f"WITH {_KEPT} SELECT row_id FROM k1 WHERE rn > 1",

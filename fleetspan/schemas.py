@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 VEHICLE = "struct<p: string, a: boolean, ta: string, py: double, px: double>"
+# Columns and types that readers of the layers rely on.
 SCHEMAS: dict[str, dict[str, str]] = {
     "bronze": {
         "positions": f"hr string, l array<struct<cl: string, sl: int, lt0: string, lt1: string, qv: int, vs: array<{VEHICLE}>>>, ingestion_timestamp timestamp, ingestion_date string, year int, month int, day int, hour int",

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 Box = tuple[float, float, float, float]  # lowest and highest latitude, lowest and highest longitude
 
+# The boxes and limits that give the published results.
 BOXES: dict[str, Box] = {
     "wide": (-24.0, -23.0, -47.0, -46.0),
     "strict": (-23.9, -23.3, -46.9, -46.3),

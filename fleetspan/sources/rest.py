@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+# Names and paths of the public API.
 ENDPOINTS = {
     "positions": "/Posicao", "line_positions": "/Posicao/Linha", "lines": "/Linha/Buscar", "line": "/Linha/CarregarLinha", "stops": "/Parada/Buscar", "stops_of_line": "/Parada/BuscarParadasPorLinha",
     "corridors": "/Corredor", "forecast_line": "/Previsao/Linha", "forecast_stop": "/Previsao/Parada", "forecast": "/Previsao",
