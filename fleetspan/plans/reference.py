@@ -52,7 +52,7 @@ def query(sql: str | None = None) -> Callable:
     def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = sql.replace("count_if(", "count(*) FILTER (WHERE ")  # a bigint in DuckDB
+            SQL[f.__name__] = sql.replace("count_if(", "count(*) FILTER (WHERE ").replace(", 6)", " + 1e-9, 6)")  # a bigint in DuckDB; see six()
         return f
 
     return add
@@ -62,8 +62,13 @@ def text(c: Column | str) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
+def six(c: Column | str) -> Column:
+    """Six digits; the tiny addend rounds ties up whatever the order of the sums was."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + 1e-9, 6)
+
+
 def r6(c: Column | str, name: str | None = None) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(name or c)
+    return six(c).alias(name or c)
 
 
 def tel(s: SparkSession, d: str) -> DataFrame:
@@ -171,7 +176,7 @@ def d1_route_enrichment(s, d):
 
 @query(f"WITH {P} SELECT count(*) AS rows, count(r.route_long_name) AS matched, round(count(r.route_long_name) / count(*), 6) AS match_rate FROM p LEFT JOIN routes r ON r.route_id = p.route_id")
 def d1_match_rate(s, d):
-    return enrich.match_rate(enrich.with_routes(positions(s, d), table(s, d, "routes"))).withColumn("match_rate", F.round("match_rate", 6))
+    return enrich.match_rate(enrich.with_routes(positions(s, d), table(s, d, "routes"))).withColumn("match_rate", six("match_rate"))
 
 
 def _stops(s, d):
@@ -305,7 +310,7 @@ def e11_realtime_row(s, d):
 @query(f"""WITH {P} SELECT line_id, count(*) AS total_vehicles, count(DISTINCT vehicle_id) AS distinct_vehicles, round(avg(speed), 6) AS avg_speed, max(speed) AS max_speed, min(speed) AS min_speed, count_if(speed < 20) AS vehicles_0_20kmh,
  count_if(speed >= 20 AND speed < 40) AS vehicles_20_40kmh, count_if(speed >= 40 AND speed < 60) AS vehicles_40_60kmh, count_if(speed >= 60) AS vehicles_60plus_kmh FROM p GROUP BY 1""")
 def e12_by_line(s, d):
-    return kpi.by_line(positions(s, d)).withColumn("avg_speed", F.round("avg_speed", 6))
+    return kpi.by_line(positions(s, d)).withColumn("avg_speed", six("avg_speed"))
 
 
 @query(f"""WITH {P} SELECT count(*) AS records_ingested, count_if(ok) AS records_valid, count_if(ok AND epoch_us(now) - epoch_us(ts) > 240000000) AS stale_records, count_if(NOT ok) AS records_invalid, round(count_if(ok) * 100.0 / count(*), 2) AS validation_rate
@@ -324,7 +329,7 @@ def e14_metric_series(s, d):
 @query(f"""WITH {P} SELECT {TXT.format("time_bucket(INTERVAL '15 minutes', ts)")} AS window_start, line_id, count(DISTINCT vehicle_id) AS vehicles, round(avg(speed), 6) AS avg_speed, round(median(speed), 6) AS median_speed, round(stddev_samp(speed), 4) AS stddev_speed FROM p WHERE ts IS NOT NULL GROUP BY 1, 2""")
 def e15_quarter_hours(s, d):
     g = positions(s, d).where("ts is not null").groupBy(F.window("ts", "15 minutes").alias("w"), "line_id")
-    return g.agg(F.count_distinct("vehicle_id").alias("vehicles"), F.round(F.avg("speed"), 6).alias("avg_speed"), F.round(F.percentile("speed", 0.5), 6).alias("median_speed"), F.round(F.stddev_samp("speed"), 4).alias("stddev_speed")).select(text("w.start").alias("window_start"), "line_id", "vehicles", "avg_speed", "median_speed", "stddev_speed")
+    return g.agg(F.count_distinct("vehicle_id").alias("vehicles"), six(F.avg("speed")).alias("avg_speed"), six(F.percentile("speed", 0.5)).alias("median_speed"), F.round(F.stddev_samp("speed"), 4).alias("stddev_speed")).select(text("w.start").alias("window_start"), "line_id", "vehicles", "avg_speed", "median_speed", "stddev_speed")
 
 
 @query(f"WITH {HEAD} SELECT stop_id, line_id, round((1 - var_samp(m) / nullif(avg(m), 0)) * 100, 2) AS regularity FROM g WHERE m IS NOT NULL GROUP BY 1, 2")
@@ -336,25 +341,25 @@ def e16_headway_regularity(s, d):
  WHERE epoch_us(ts) > epoch_us(now2) - 30 * 60000000 GROUP BY 1 HAVING count(DISTINCT vehicle_id) > 0""")
 def e17_current_lines(s, d):
     df = with_clock(positions(s, d)).where("ts > now - interval 30 minutes")
-    out = df.groupBy("line_id").agg(F.count_distinct("vehicle_id").alias("vehicles_active"), F.round(F.avg("speed"), 6).alias("avg_speed_kmh"), text(F.max("ts")).alias("last_update"), F.count("*").alias("total_positions"))
+    out = df.groupBy("line_id").agg(F.count_distinct("vehicle_id").alias("vehicles_active"), six(F.avg("speed")).alias("avg_speed_kmh"), text(F.max("ts")).alias("last_update"), F.count("*").alias("total_positions"))
     return out.where("vehicles_active > 0")
 
 
 @query("""SELECT count(DISTINCT vehicle_id) AS total_vehicles, count(DISTINCT line_id) AS total_lines, round(avg(speed), 6) AS avg_speed, count(*) FILTER (WHERE speed > 5) AS vehicles_moving, count(*) FILTER (WHERE speed <= 5) AS vehicles_stopped FROM vehicle_positions_latest""")
 def e18_fleet_summary(s, d):
     df = table(s, d, "vehicle_positions_latest")
-    return df.agg(F.count_distinct("vehicle_id").alias("total_vehicles"), F.count_distinct("line_id").alias("total_lines"), F.round(F.avg("speed"), 6).alias("avg_speed"), F.count_if(F.col("speed") > 5).alias("vehicles_moving"), F.count_if(F.col("speed") <= 5).alias("vehicles_stopped"))
+    return df.agg(F.count_distinct("vehicle_id").alias("total_vehicles"), F.count_distinct("line_id").alias("total_lines"), six(F.avg("speed")).alias("avg_speed"), F.count_if(F.col("speed") > 5).alias("vehicles_moving"), F.count_if(F.col("speed") <= 5).alias("vehicles_stopped"))
 
 
 @query(f"WITH {HOURLY} SELECT {TXT.format('hour_timestamp')} AS hour, count(DISTINCT line_id) AS lines_count, sum(vehicles_active)::BIGINT AS total_vehicles, round(avg(avg_speed_kmh), 6) AS avg_speed, round(sum(total_distance_km), 4) AS total_distance, round(avg(data_quality_score), 6) AS avg_dq_score FROM hourly GROUP BY 1")
 def e19_hourly_view(s, d):
     g = layers.gold_hourly(s, d).groupBy("hour_timestamp")
-    return g.agg(F.count_distinct("line_id").alias("lines_count"), F.sum("vehicles_active").alias("total_vehicles"), F.round(F.avg("avg_speed_kmh"), 6).alias("avg_speed"), F.round(F.sum("total_distance_km"), 4).alias("total_distance"), F.round(F.avg("data_quality_score"), 6).alias("avg_dq_score")).withColumn("hour", text("hour_timestamp")).drop("hour_timestamp")
+    return g.agg(F.count_distinct("line_id").alias("lines_count"), F.sum("vehicles_active").alias("total_vehicles"), six(F.avg("avg_speed_kmh")).alias("avg_speed"), F.round(F.sum("total_distance_km"), 4).alias("total_distance"), six(F.avg("data_quality_score")).alias("avg_dq_score")).withColumn("hour", text("hour_timestamp")).drop("hour_timestamp")
 
 
 @query(f"WITH {HOURLY} SELECT line_id, line_name, round(avg(vehicles_active), 6) AS avg_vehicles, round(avg(avg_speed_kmh), 6) AS avg_speed, count(*) AS measurements_count FROM hourly GROUP BY 1, 2 ORDER BY avg_vehicles DESC, line_id, line_name NULLS LAST LIMIT 20")
 def e20_top_lines(s, d):
-    g = layers.gold_hourly(s, d).groupBy("line_id", "line_name").agg(F.round(F.avg("vehicles_active"), 6).alias("avg_vehicles"), F.round(F.avg("avg_speed_kmh"), 6).alias("avg_speed"), F.count("*").alias("measurements_count"))
+    g = layers.gold_hourly(s, d).groupBy("line_id", "line_name").agg(six(F.avg("vehicles_active")).alias("avg_vehicles"), six(F.avg("avg_speed_kmh")).alias("avg_speed"), F.count("*").alias("measurements_count"))
     return g.orderBy(F.desc("avg_vehicles"), "line_id", F.asc_nulls_last("line_name")).limit(20)
 
 
@@ -382,7 +387,7 @@ def e24_hourly_totals(s, d):
 def e25_latency_slo(s, d):
     x = (F.unix_micros(F.col("created_at").cast("timestamp")) - F.unix_micros(F.col("timestamp").cast("timestamp"))) / 1e6
     a = table(s, d, "kpi_realtime").select(x.alias("x"))
-    return a.agg(F.round(F.avg("x"), 4).alias("avg_latency"), F.round(F.min("x"), 6).alias("min_latency"), F.round(F.max("x"), 6).alias("max_latency"), F.round(F.percentile("x", 0.95), 6).alias("p95_latency"), F.round(F.count_if(F.col("x") <= 120) * 100.0 / F.count("*"), 6).alias("sla_percent"), F.round(F.stddev_samp("x"), 3).alias("std_latency"))
+    return a.agg(F.round(F.avg("x"), 4).alias("avg_latency"), six(F.min("x")).alias("min_latency"), six(F.max("x")).alias("max_latency"), six(F.percentile("x", 0.95)).alias("p95_latency"), six(F.count_if(F.col("x") <= 120) * 100.0 / F.count("*")).alias("sla_percent"), F.round(F.stddev_samp("x"), 3).alias("std_latency"))
 
 
 @query("WITH v AS (SELECT received_at::DATE AS day, count(*) AS n FROM vehicle_positions GROUP BY 1) SELECT strftime(day, '%Y-%m-%d') AS day, n FROM v ORDER BY day DESC LIMIT 7")
@@ -404,7 +409,7 @@ def e29_dashboard_average(s, d):
 
 @query(f"WITH {P} SELECT route_id, count(*) AS n, round(avg(speed), 6) AS avg_speed, round(avg(latitude), 6) AS avg_lat, round(avg(longitude), 6) AS avg_lon, count(latitude) AS placed FROM p GROUP BY 1")
 def e30_by_route(s, d):
-    return positions(s, d).groupBy("route_id").agg(F.count("*").alias("n"), F.round(F.avg("speed"), 6).alias("avg_speed"), F.round(F.avg("latitude"), 6).alias("avg_lat"), F.round(F.avg("longitude"), 6).alias("avg_lon"), F.count("latitude").alias("placed"))
+    return positions(s, d).groupBy("route_id").agg(F.count("*").alias("n"), six(F.avg("speed")).alias("avg_speed"), six(F.avg("latitude")).alias("avg_lat"), six(F.avg("longitude")).alias("avg_lon"), F.count("latitude").alias("placed"))
 
 
 @query(f"WITH {P}, c AS (SELECT *, (SELECT now FROM clock) AS now FROM p) SELECT (SELECT count(DISTINCT route_id) FROM routes) AS routes, count(DISTINCT vehicle_id) FILTER (WHERE epoch_us(ts) > epoch_us(now) - 3600000000) AS vehicles_last_hour, count_if(ts::DATE = now::DATE) AS positions_today FROM c")
@@ -418,6 +423,6 @@ def e31_operational_counts(s, d):
 def e32_profile(s, d):
     p = positions(s, d)
     a = p.groupBy("route_id").count().agg(F.max("count").alias("busiest_route_rows"))
-    b = p.agg(F.round(F.avg(F.col("speed").isNull().cast("int")), 6).alias("null_share"))
+    b = p.agg(six(F.avg(F.col("speed").isNull().cast("int"))).alias("null_share"))
     c = p.where("vehicle_id is not null").groupBy("vehicle_id", "ts").count().where("count > 1").agg(F.count("*").alias("repeated_keys"))
     return a.join(F.broadcast(b)).join(F.broadcast(c))

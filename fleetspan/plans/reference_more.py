@@ -12,7 +12,7 @@ from fleetspan.functions.geo import haversine_m, heading_deg
 from fleetspan.operators import dedup, enrich, kpi, quality, telemetry
 from fleetspan.plans import layers, views
 from fleetspan.plans.layers import positions, silver, with_clock
-from fleetspan.plans.reference import DAILY, FLAGS, HOURLY, LINES, QUERIES, SEC, SILVER, SQL, TEL, TXT, P, flagged, hav, query, r6, tel, text
+from fleetspan.plans.reference import DAILY, FLAGS, HOURLY, LINES, QUERIES, SEC, SILVER, SQL, TEL, TXT, P, flagged, hav, query, r6, six, tel, text
 from fleetspan.session import table
 from fleetspan.settings import BOXES
 
@@ -59,7 +59,7 @@ def f7_peak_hour(s, d):
 def f9_lead_headway(s, d):
     by = Window.partitionBy("route_id").orderBy("ts", "row_id")
     gap = (F.lead(F.unix_timestamp("ts")).over(by) - F.unix_timestamp("ts")) / 60.0
-    return positions(s, d).where("ts is not null").withColumn("m", gap).where("m is not null").groupBy("route_id").agg(F.round(F.avg("m"), 6).alias("avg_gap"))
+    return positions(s, d).where("ts is not null").withColumn("m", gap).where("m is not null").groupBy("route_id").agg(six(F.avg("m")).alias("avg_gap"))
 
 
 @query(f"""WITH {P}, m AS (SELECT line_id, avg(speed) AS a, stddev_samp(speed) AS s FROM p GROUP BY 1) SELECT row_id, round((speed - a) / nullif(s, 0), 5) AS z, coalesce(abs((speed - a) / nullif(s, 0)) > 3, false) AS is_anomaly FROM p JOIN m USING (line_id)""")
@@ -171,8 +171,8 @@ def j1_distance_and_heading(s, d):
     return p.select("row_id", F.round(haversine_m(a, b, c, e), 3).alias("to_centre_m"), F.round(heading_deg(a, b, c, e), 5).alias("heading"))
 
 
-@query(f"""WITH {P} SELECT row_id, hour(ts)::INT AS hour_of_day, (dayofweek(ts) + 1)::INT AS day_of_week, dayname(ts) AS day_name, dayofweek(ts) IN (0, 6) AS is_weekend, CASE WHEN hour(ts) BETWEEN 6 AND 11 THEN 'morning' WHEN hour(ts) BETWEEN 12 AND 17 THEN 'afternoon' WHEN hour(ts) BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END AS time_period,
- (hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19) AND dayofweek(ts) NOT IN (0, 6) AS is_rush_hour, weekofyear(ts)::INT AS week_of_year, monthname(ts) AS month_name, quarter(ts)::INT AS quarter FROM p WHERE ts IS NOT NULL""")
+@query(f"""WITH {P} SELECT row_id, hour(ts)::INT AS hour_of_day, (dayofweek(ts) + 1)::INT AS day_of_week, dayname(ts) AS day_name, dayofweek(ts) IN (6, 0) AS is_weekend, CASE WHEN hour(ts) BETWEEN 6 AND 11 THEN 'morning' WHEN hour(ts) BETWEEN 12 AND 17 THEN 'afternoon' WHEN hour(ts) BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END AS time_period,
+ (hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19) AND dayofweek(ts) NOT IN (6, 0) AS is_rush_hour, weekofyear(ts)::INT AS week_of_year, monthname(ts) AS month_name, quarter(ts)::INT AS quarter FROM p WHERE ts IS NOT NULL""")
 def j5_calendar(s, d):
     df = enrich.with_calendar(positions(s, d).where("ts is not null"))
     return df.select("row_id", "hour_of_day", "day_of_week", "day_name", "is_weekend", "time_period", "is_rush_hour", "week_of_year", "month_name", "quarter")
@@ -221,7 +221,7 @@ def j23_validators(s, d):
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS null_count, round(count_if({c} IS NULL) / count(*), 6) AS null_rate, count_if({c} IS NULL) / count(*) <= 0.05 AS passed FROM vehicle_positions" for c in ("vehicle_id", "latitude", "speed", "route_id")))
 def k4_null_rates(s, d):
-    return quality.null_rates(table(s, d, "vehicle_positions"), ["vehicle_id", "latitude", "speed", "route_id"]).withColumn("null_rate", F.round("null_rate", 6))
+    return quality.null_rates(table(s, d, "vehicle_positions"), ["vehicle_id", "latitude", "speed", "route_id"]).withColumn("null_rate", six("null_rate"))
 
 
 CHECKS = f"""{P}, a AS (SELECT count(*)::DOUBLE AS n, count_if(vehicle_id IS NOT NULL AND ts IS NOT NULL) / count(*) AS req, count_if(coalesce(latitude BETWEEN -23.9 AND -23.3 AND longitude BETWEEN -46.9 AND -46.3, false)) / count(*) AS pl,
@@ -236,7 +236,7 @@ def k11_checks(s, d):
 
 @query(f"WITH {FLAGS} SELECT count(*) AS total_records, count_if(is_valid) AS valid_records, count_if(NOT is_valid) AS invalid_records, count_if(has_nulls) AS null_records, count_if(out_of_bounds OR invalid_speed) AS out_of_range_records, round(count_if(is_valid) * 100.0 / count(*), 6) AS quality_score FROM f")
 def k12_flag_summary(s, d):
-    return quality.flag_summary(flagged(s, d)).withColumn("quality_score", F.round("quality_score", 6))
+    return quality.flag_summary(flagged(s, d)).withColumn("quality_score", six("quality_score"))
 
 
 @query(f"""WITH {P}, k AS (SELECT count(*) AS n FROM (SELECT DISTINCT vehicle_id, ts FROM p)) SELECT count(*) AS total, round(count(vehicle_id) * 100.0 / count(*), 6) AS completeness_vehicle, round(count(latitude) * 100.0 / count(*), 6) AS completeness_latitude, round(count_if(speed BETWEEN 0 AND 120) * 100.0 / count(*), 6) AS validity, round((SELECT n FROM k) * 100.0 / count(*), 6) AS uniqueness FROM p""")
@@ -302,8 +302,8 @@ def m7_fleet_kpis_json(s, d):
 def n1_dashboard(s, d):
     now = positions(s, d).agg(F.max(F.col("received_at").cast("timestamp")).alias("now"))
     g = layers.gold_hourly(s, d).join(F.broadcast(now))
-    c = g.where("hour_timestamp = date_trunc('hour', now)").agg(F.sum("vehicles_active").alias("vehicles_now"), F.round(F.avg("avg_speed_kmh"), 6).alias("speed_now"), F.count_distinct("line_id").alias("lines_now"))
-    h = g.where("hour_timestamp > now - interval 24 hours").agg(F.round(F.avg("vehicles_active"), 6).alias("vehicles_24h_avg"), F.round(F.avg("avg_speed_kmh"), 6).alias("speed_24h_avg"), F.round(F.sum("total_distance_km"), 4).alias("distance_24h_total"))
+    c = g.where("hour_timestamp = date_trunc('hour', now)").agg(F.sum("vehicles_active").alias("vehicles_now"), six(F.avg("avg_speed_kmh")).alias("speed_now"), F.count_distinct("line_id").alias("lines_now"))
+    h = g.where("hour_timestamp > now - interval 24 hours").agg(six(F.avg("vehicles_active")).alias("vehicles_24h_avg"), six(F.avg("avg_speed_kmh")).alias("speed_24h_avg"), F.round(F.sum("total_distance_km"), 4).alias("distance_24h_total"))
     return c.join(F.broadcast(h))
 
 
@@ -327,8 +327,8 @@ def n11_metric_export(s, d):
 @query("""SELECT data_source, round(quantile_cont(stale_percentage, 0.95), 6) AS p95, round(quantile_cont(stale_percentage, 0.99), 6) AS p99, round(avg(stale_percentage), 6) AS mean, (max(records_processed) - min(records_processed))::INT AS spread FROM kpi_realtime GROUP BY 1""")
 def n12_panels(s, d):
     g = table(s, d, "kpi_realtime").groupBy("data_source")
-    q = lambda x: F.round(F.percentile("stale_percentage", x), 6)
-    return g.agg(q(0.95).alias("p95"), q(0.99).alias("p99"), F.round(F.avg("stale_percentage"), 6).alias("mean"), (F.max("records_processed") - F.min("records_processed")).alias("spread"))
+    q = lambda x: six(F.percentile("stale_percentage", x))
+    return g.agg(q(0.95).alias("p95"), q(0.99).alias("p99"), six(F.avg("stale_percentage")).alias("mean"), (F.max("records_processed") - F.min("records_processed")).alias("spread"))
 
 
 @query("SELECT CASE WHEN bool_and(stale_percentage < 50) THEN 'healthy' WHEN bool_or(stale_percentage >= 50) THEN 'degraded' ELSE 'unknown' END AS status FROM kpi_realtime WHERE stale_percentage IS NOT NULL")
@@ -350,19 +350,19 @@ def k6_places(s, d):
 def e22_route_metrics(s, d):
     g = table(s, d, "kpi_by_line").groupBy("line_id")
     ratio = F.try_divide(F.avg("coverage_area_km2"), F.avg("total_vehicles") / 60.0)
-    return g.agg(F.count("*").alias("measurements"), F.round(F.avg("avg_speed"), 6).alias("avg_speed"), F.round(F.stddev_samp("avg_speed"), 5).alias("std_speed"), F.round(ratio, 5).alias("area_per_vehicle_hour"))
+    return g.agg(F.count("*").alias("measurements"), six(F.avg("avg_speed")).alias("avg_speed"), F.round(F.stddev_samp("avg_speed"), 5).alias("std_speed"), F.round(ratio, 5).alias("area_per_vehicle_hour"))
 
 
 @query("SELECT data_source AS stage, CASE WHEN stale_percentage > 10 THEN 'WARNING' ELSE 'OK' END AS status, round(avg(coverage_percentage), 6) AS avg_score, count(*) AS checks, strftime(max(\"timestamp\"), '%Y-%m-%d %H:%M:%S') AS last_check FROM kpi_realtime GROUP BY 1, 2")
 def e28_quality_summary(s, d):
     k = table(s, d, "kpi_realtime").withColumn("status", F.when(F.col("stale_percentage") > 10, "WARNING").otherwise("OK"))
-    return k.groupBy(F.col("data_source").alias("stage"), "status").agg(F.round(F.avg("coverage_percentage"), 6).alias("avg_score"), F.count("*").alias("checks"), text(F.max("timestamp")).alias("last_check"))
+    return k.groupBy(F.col("data_source").alias("stage"), "status").agg(six(F.avg("coverage_percentage")).alias("avg_score"), F.count("*").alias("checks"), text(F.max("timestamp")).alias("last_check"))
 
 
 @query("SELECT endpoint, count(*) AS calls, round(count_if(response_status = 200) * 100.0 / count(*), 6) AS success_percent, max(length(raw_json)) AS longest FROM api_raw GROUP BY 1")
 def e33_call_statistics(s, d):
     g = table(s, d, "api_raw").groupBy("endpoint")
-    return g.agg(F.count("*").alias("calls"), F.round(F.count_if(F.col("response_status") == 200) * 100.0 / F.count("*"), 6).alias("success_percent"), F.max(F.length("raw_json")).cast("bigint").alias("longest"))
+    return g.agg(F.count("*").alias("calls"), six(F.count_if(F.col("response_status") == 200) * 100.0 / F.count("*")).alias("success_percent"), F.max(F.length("raw_json")).cast("bigint").alias("longest"))
 
 
 @query("SELECT request_id, endpoint, response_status FROM api_raw ORDER BY request_timestamp DESC, request_id DESC LIMIT 100")
@@ -388,7 +388,7 @@ def k17_weighted_score(s, d):
     four = quality.four_dimensions(with_clock(p), F.col("now"), ["vehicle_id", "ts"])
     unique = p.groupBy("vehicle_id", "ts").count().agg((F.count("*") * 100.0 / F.sum("count")).alias("uniqueness"))
     score = quality.weighted_score({c: F.col(c) for c in ("completeness", "accuracy", "consistency", "timeliness", "uniqueness")})
-    return four.join(F.broadcast(unique)).select(F.round(score, 6).alias("score"), quality.score_band(score).alias("band"))
+    return four.join(F.broadcast(unique)).select(six(score).alias("score"), quality.score_band(score).alias("band"))
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) - count({k}) AS null_keys, (SELECT count(*) FROM (SELECT {k} FROM {t} WHERE {k} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys FROM {t}" for t, k in (("routes", "route_id"), ("zones", "zone_id"), ("vehicle_positions_latest", "vehicle_id"), ("api_raw", "request_id"))))
@@ -404,7 +404,7 @@ def k19_table_report(s, d):
 @query("SELECT line_id, count(DISTINCT vehicle_id) AS vehicles_active, round(avg(speed), 6) AS avg_speed FROM vehicle_positions_latest WHERE \"timestamp\" > (SELECT max(\"timestamp\") FROM vehicle_positions_latest) - INTERVAL 30 MINUTES GROUP BY 1")
 def m6_active_lines(s, d):
     p = table(s, d, "vehicle_positions_latest").withColumn("ts", F.col("timestamp").cast("timestamp"))
-    return views.active_lines(s, p, 30).select("line_id", "vehicles_active", F.round("avg_speed", 6).alias("avg_speed"))
+    return views.active_lines(s, p, 30).select("line_id", "vehicles_active", six("avg_speed").alias("avg_speed"))
 
 
 @query(f"WITH {P} SELECT year(ts)::INT AS year, month(ts)::INT AS month, count(*) AS n, ts < (SELECT max(received_at) FROM p) - INTERVAL 90 DAYS AS expired FROM p WHERE ts IS NOT NULL GROUP BY ALL")
