@@ -1,9 +1,8 @@
 """Readings that are false for their own source: spikes, stuck values, impossible values and impossible places.
 
-Spikes: each source's series is decomposed robustly into trend (median of the day), season (median of the hour of day of what
-is left) and residual. Residuals beyond the limits of the generalised extreme studentised deviate test, with median and
-median deviation in place of mean and standard deviation, are candidates; a candidate is a spike if it reaches
-``ratio`` times the highest sound reading of its source. Constant runs and ranges are checked on their own.
+Spikes are decided exactly, by the readings' values alone: the lowest gap between two readings that follow each other by size
+and differ by ``ratio`` or more parts the sound ones from the spikes, looked for among the largest ``most`` of a source's
+readings. The number of readings, the day and the hour do not matter. Constant runs and ranges are checked on their own.
 """
 
 from __future__ import annotations
@@ -16,17 +15,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspan.functions.clock import MICROS, micros
+from fleetspan.functions.clock import micros
 from fleetspan.functions.geo import metres
 from fleetspan.operators.delivery import identified
 from fleetspan.operators.series import blocks, floats, ordered, runs, with_parts
 
-DAY_US, HOUR_US = 86_400 * MICROS, 3_600 * MICROS
-
 
 @dataclass(frozen=True)
 class Limits:
-    """What a reading may be. ``alpha`` and ``most`` are the level and the greatest share of outliers of the deviate test."""
+    """What a reading may be. ``most`` is the greatest share of spikes of a source; a bar below ``least_scale`` counts as that.
+
+    ``alpha`` is the level of ``deviate_limit``, which decides nothing here.
+    """
 
     low: float = 0.0
     high: float = 250.0
@@ -73,33 +73,6 @@ def deviate_limit(n: np.ndarray, i: np.ndarray, alpha: float) -> np.ndarray:
     return np.where(ok, left * t / np.sqrt((df + t * t) * (left + 1)), np.inf)
 
 
-def residuals(run: np.ndarray, us: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """What trend (day) and season (hour of day) leave of each reading; a cell with under 8 readings has no season."""
-    day = np.unique(run * 100_000 + us // DAY_US, return_inverse=True)[1]
-    rest = x - group_median(day, x, day.max() + 1)[day]
-    cell = run * 24 + (us % DAY_US) // HOUR_US
-    n = np.bincount(cell, minlength=cell.max() + 1)
-    season = np.where(n >= 8, group_median(cell, rest, len(n)), 0.0)
-    return rest - season[cell]
-
-
-def extreme(run: np.ndarray, r: np.ndarray, lim: Limits) -> np.ndarray:
-    """Residuals beyond the deviate limits of their run. Median and median deviation are those of the whole run."""
-    size = run.max() + 1
-    n = np.bincount(run, minlength=size)
-    mid = group_median(run, r, size)[run]
-    off = np.abs(r - mid)
-    scale = np.maximum(1.4826 * group_median(run, off, size), lim.least_scale)[run]
-    by = np.lexsort((-off, run))
-    rank = np.empty(len(r), dtype=np.int64)
-    first = np.concatenate([[0], np.cumsum(n)[:-1]])
-    rank[by] = np.arange(len(r)) - first[run[by]] + 1
-    beyond = (off / scale > deviate_limit(n[run], rank, lim.alpha)) & (rank <= lim.most * n[run])
-    last = np.zeros(size, dtype=np.int64)
-    np.maximum.at(last, run[beyond], rank[beyond])
-    return rank <= last[run]
-
-
 def held_runs(run: np.ndarray, x: np.ndarray, least: int) -> np.ndarray:
     """Number of the run of equal values that each reading belongs to, -1 for runs shorter than ``least``."""
     if not len(x):
@@ -110,24 +83,33 @@ def held_runs(run: np.ndarray, x: np.ndarray, least: int) -> np.ndarray:
     return np.where(n[number] >= least, number, -1)
 
 
-def spikes(run: np.ndarray, us: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits) -> np.ndarray:
+def spike_bars(group: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray, size: int, lim: Limits) -> np.ndarray:
+    """The least spike of each group 0..size-1, infinite where there is none.
+
+    Each entry stands for ``n`` readings from ``low`` to ``high`` without a gap between them: a reading, or a bucket of them.
+    At least three readings must be left below the gap.
+    """
+    bars = np.full(size, np.inf)
+    by = np.lexsort((low, group))
+    g, least, most, count = group[by], low[by], high[by], n[by]
+    if len(g) < 2:
+        return bars
+    total = np.bincount(g, count, size)
+    so_far = np.cumsum(count) - (np.cumsum(total) - total)[g]  # readings of the group up to the entry
+    above = (total[g] - so_far)[:-1]
+    same = g[1:] == g[:-1]
+    gap = same & (least[1:] >= lim.ratio * np.maximum(most[:-1], lim.least_scale)) & (above <= np.floor(lim.most * total)[g[:-1]]) & (so_far[:-1] >= 3)
+    np.minimum.at(bars, g[1:][gap], least[1:][gap])
+    return bars
+
+
+def spikes(run: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits) -> np.ndarray:
     """Spikes among the readings that are not ``out`` already."""
-    hit = np.zeros(len(x), dtype=bool)
     at = np.flatnonzero(~out)
     if not len(at):
-        return hit
-    g, v = np.unique(run[at], return_inverse=True)[1], x[at]
-    r = residuals(g, us[at], v)
-    maybe = extreme(g, r, lim) & (r > 0)
-    while True:  # a candidate that stays below the ratio is sound and may lift the bar
-        top = np.zeros(g.max() + 1)
-        np.maximum.at(top, g[~maybe], v[~maybe])
-        keep = maybe & (v >= lim.ratio * top[g])
-        if (keep == maybe).all():
-            break
-        maybe = keep
-    hit[at[maybe]] = True
-    return hit
+        return np.zeros(len(x), dtype=bool)
+    bars = spike_bars(run[at], x[at], x[at], np.ones(len(at)), run.max() + 1, lim)
+    return ~out & (x >= bars[run])
 
 
 def _extent_m(number: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
@@ -217,13 +199,13 @@ def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.nd
     return hit
 
 
-def false_speeds(run: np.ndarray, us: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None = None, lon: np.ndarray | None = None, floor: np.ndarray | None = None) -> np.ndarray:
+def false_speeds(run: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None = None, lon: np.ndarray | None = None, floor: np.ndarray | None = None) -> np.ndarray:
     """Cases of speed; with places, values held while standing are none. ``floor``: what a reading may not be below."""
     hit = np.zeros(len(speed), dtype=bool)
     at = np.flatnonzero(~np.isnan(speed))
     if not len(at):
         return hit
-    x, g, t = speed[at], run[at], us[at]
+    x, g = speed[at], run[at]
     out = (x < lim.low) | (x > lim.high)
     if floor is not None:
         out |= x < floor[at]
@@ -233,7 +215,7 @@ def false_speeds(run: np.ndarray, us: np.ndarray, speed: np.ndarray, lim: Limits
         far = _extent_m(np.maximum(number, 0), np.where(number >= 0, lat[at], np.nan), lon[at])
         held &= far[np.maximum(number, 0)] > lim.moved_m
     out |= held
-    hit[at] = out | spikes(g, t, x, out, lim)
+    hit[at] = out | spikes(g, x, out, lim)
     return hit
 
 
@@ -264,7 +246,7 @@ def false_positions(df: DataFrame, lim: Limits = Limits()) -> DataFrame:
             lat, lon, speed = floats(table, "latitude"), floats(table, "longitude"), floats(table, "speed")
             place = false_latitudes(run, us, lat, lon, speed, lim)
             sound = np.where(place, np.nan, lat)
-            pace = false_speeds(run, us, speed, lim, sound, lon)
+            pace = false_speeds(run, speed, lim, sound, lon)
             at = np.flatnonzero(place | pace)
             yield pa.RecordBatch.from_arrays([table.column("arrival").combine_chunks().take(pa.array(at)), pa.array(pace[at]), pa.array(place[at])], ["row_key", "false_speed", "false_latitude"])
 
@@ -285,7 +267,7 @@ def false_line_speeds(df: DataFrame, source: str = "line_id", time: str = "times
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
             bar = floats(table, "f")
-            hit = false_speeds(runs(table), table.column("event_us").to_numpy(), floats(table, "v"), lim, floor=np.where(np.isnan(bar), -np.inf, bar))
+            hit = false_speeds(runs(table), floats(table, "v"), lim, floor=np.where(np.isnan(bar), -np.inf, bar))
             yield pa.RecordBatch.from_arrays([table.column("arrival").combine_chunks().filter(pa.array(hit))], ["row_key"])
 
     return laid.mapInArrow(flag, "row_key bigint")

@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 
-from fleetspan.operators.spikes import Limits, deviate_limit, false_line_speeds, false_places, false_positions, group_median, held_runs
+from fleetspan.operators.spikes import Limits, deviate_limit, false_line_speeds, false_places, false_positions, false_speeds, group_median, held_runs
 
 T0 = datetime(2018, 1, 1, 5)
 DDL = "row_id bigint, vehicle_id string, timestamp timestamp, latitude double, longitude double, speed double, part string, source_key string"
@@ -94,3 +94,14 @@ def test_small_parts():
     got = deviate_limit(np.full(3, 54), np.array([1, 5, 10]), 0.05)
     assert np.allclose(got, [3.159, 3.120, 3.068], atol=0.03)
     assert not false_places(np.zeros(2, int), np.array([0, 1]), np.array([0.0, 50.0]), np.zeros(2), Limits()).any()
+
+
+def test_a_spike_is_found_whatever_the_number_of_readings():
+    lim = Limits()
+    for n in (500, 5_000, 100_000):
+        x = np.random.default_rng(n).uniform(5, 40, n)
+        x[n // 2] = 1.9 * 40
+        x[n // 3] = 1.7 * 40  # below the ratio: sound, though it lifts the bar
+        assert not false_speeds(np.zeros(n, int), x, lim).any()
+        x[n // 3] = 40.0
+        assert np.flatnonzero(false_speeds(np.zeros(n, int), x, lim)).tolist() == [n // 2]
