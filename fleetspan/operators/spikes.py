@@ -7,7 +7,7 @@ readings. The number of readings, the day and the hour do not matter. Constant r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fleetspan.functions.clock import micros
 from fleetspan.functions.geo import metres
 from fleetspan.operators.delivery import identified
-from fleetspan.operators.series import blocks, floats, ordered, runs, with_parts
+from fleetspan.operators.series import HOT_ROWS, blocks, by_part, floats, names, of_cut_sources, ordered, runs, with_parts
 
 
 @dataclass(frozen=True)
@@ -103,12 +103,15 @@ def spike_bars(group: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarr
     return bars
 
 
-def spikes(run: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits) -> np.ndarray:
-    """Spikes among the readings that are not ``out`` already."""
+def spikes(run: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits, known: dict[int, float] | None = None) -> np.ndarray:
+    """Spikes among the readings that are not ``out`` already. ``known``: bars of runs that are parts of a source, from the whole of it."""
     at = np.flatnonzero(~out)
     if not len(at):
         return np.zeros(len(x), dtype=bool)
     bars = spike_bars(run[at], x[at], x[at], np.ones(len(at)), run.max() + 1, lim)
+    for r, bar in (known or {}).items():
+        if r < len(bars):
+            bars[r] = bar
     return ~out & (x >= bars[run])
 
 
@@ -177,8 +180,8 @@ def false_places(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarr
     return bad
 
 
-def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarray, speed: np.ndarray, lim: Limits) -> np.ndarray:
-    """Cases of latitude among pings in time order.
+def sound_but_for_steps(run: np.ndarray, lat: np.ndarray, lon: np.ndarray, speed: np.ndarray, lim: Limits) -> tuple[np.ndarray, np.ndarray]:
+    """Masks of the latitudes out of range or held under way, and of the places left for ``false_places``.
 
     A vehicle whose latitude is held is under way if its longitude drifts or its median speed is above walking pace.
     """
@@ -194,13 +197,30 @@ def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.nd
             pace = group_median(number[paced], speed[at][paced], len(far))
             under_way = (far > lim.drift_m) | (pace > lim.walk_kmh)
             hit[at[held & under_way[np.maximum(number, 0)]]] = True
-    at = np.flatnonzero(known & ~hit & (np.abs(lon) <= 180))
+    return hit, known & ~hit & (np.abs(lon) <= 180)
+
+
+def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarray, speed: np.ndarray, lim: Limits, known: dict[int, np.ndarray] | None = None) -> np.ndarray:
+    """Cases of latitude among pings in time order. ``known``: times of the impossible places of runs that are parts of a source."""
+    hit, left = sound_but_for_steps(run, lat, lon, speed, lim)
+    part = np.isin(run, list(known or ()))
+    at = np.flatnonzero(left & ~part)
     hit[at[false_places(run[at], us[at], lat[at], lon[at], lim)]] = True
+    for r, times in (known or {}).items():
+        hit |= left & (run == r) & np.isin(us, times)
+    return hit
+
+
+def false_speeds(run: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None = None, lon: np.ndarray | None = None, floor: np.ndarray | None = None, bars: dict[int, float] | None = None) -> np.ndarray:
+    """Cases of speed; with places, values held while standing are none. ``floor``: what a reading may not be below. ``bars``: see ``spikes``."""
+    hit = out_or_held(run, speed, lim, lat, lon, floor)
+    at = np.flatnonzero(~np.isnan(speed))
+    hit[at] |= spikes(run[at], speed[at], hit[at], lim, bars)
     return hit
 
 
-def false_speeds(run: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None = None, lon: np.ndarray | None = None, floor: np.ndarray | None = None) -> np.ndarray:
-    """Cases of speed; with places, values held while standing are none. ``floor``: what a reading may not be below."""
+def out_or_held(run: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None, lon: np.ndarray | None, floor: np.ndarray | None) -> np.ndarray:
+    """Cases of speed but for the spikes."""
     hit = np.zeros(len(speed), dtype=bool)
     at = np.flatnonzero(~np.isnan(speed))
     if not len(at):
@@ -214,8 +234,7 @@ def false_speeds(run: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarra
     if lat is not None and held.any():
         far = _extent_m(np.maximum(number, 0), np.where(number >= 0, lat[at], np.nan), lon[at])
         held &= far[np.maximum(number, 0)] > lim.moved_m
-    out |= held
-    hit[at] = out | spikes(g, x, out, lim)
+    hit[at] = out | held
     return hit
 
 
@@ -224,7 +243,7 @@ def kept_pings(df: DataFrame, payload: tuple[str, ...]) -> DataFrame:
 
     Copies that did not arrive together still follow each other here; ``first_of_time`` drops them.
     """
-    return ordered(identified(df, payload=payload))
+    return ordered(identified(df, payload=payload), held=("latitude", "speed"))
 
 
 def first_of_time(table: pa.Table, run: np.ndarray, us: np.ndarray) -> tuple[pa.Table, np.ndarray, np.ndarray]:
@@ -233,6 +252,59 @@ def first_of_time(table: pa.Table, run: np.ndarray, us: np.ndarray) -> tuple[pa.
     return (table.filter(pa.array(first)), run[first], us[first]) if not first.all() else (table, run, us)
 
 
+def of_runs(known: dict, table: pa.Table, run: np.ndarray) -> dict:
+    """By run, what is known by source."""
+    return {r: known[name] for r, name in zip(np.unique(run).tolist(), names(table, run), strict=True) if name in known} if known else {}
+
+
+def impossible_times(laid: DataFrame, lim: Limits) -> dict[str, np.ndarray]:
+    """Times of the impossible places of each source that is cut into parts, from the whole of it.
+
+    A place is judged by the sound ones around it, however far; so the sound places of a source (24 bytes each) meet in one task.
+    """
+    cut = of_cut_sources(laid)
+    if cut is None:
+        return {}
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in blocks(batches):
+            table, run, us = first_of_time(table, runs(table), table.column("event_us").to_numpy())
+            lat, lon = floats(table, "latitude"), floats(table, "longitude")
+            at = np.flatnonzero(sound_but_for_steps(run, lat, lon, floats(table, "speed"), lim)[1])
+            yield pa.RecordBatch.from_arrays([table.column("source_key").combine_chunks().take(pa.array(at)), pa.array(us[at]), pa.array(lat[at]), pa.array(lon[at])], ["source_key", "event_us", "lat", "lon"])
+
+    def judge(table: pa.Table) -> pa.Table:
+        table = table.sort_by("event_us")
+        us = table.column("event_us").to_numpy()
+        bad = false_places(np.zeros(len(us), dtype=np.int64), us, floats(table, "lat"), floats(table, "lon"), lim)
+        return table.select(["source_key", "event_us"]).filter(pa.array(bad))
+
+    sources = [r[0] for r in cut.select("source_key").distinct().collect()]
+    found = cut.mapInArrow(thin, "source_key string, event_us bigint, lat double, lon double").groupBy("source_key").applyInArrow(judge, "source_key string, event_us bigint").toArrow()
+    source, us = np.array(found.column("source_key").to_pylist(), dtype=object), found.column("event_us").to_numpy()
+    return {name: us[source == name] for name in sources}
+
+
+def buckets(table: pa.Table, x: np.ndarray, out: np.ndarray, lim: Limits) -> Iterator[pa.RecordBatch]:
+    """Readings that are not ``out`` by source and size; a bucket is narrower than ``ratio``, so it holds no gap."""
+    at = np.flatnonzero(~out & ~np.isnan(x))
+    if len(at):
+        number = np.floor(np.log(np.maximum(x[at], lim.least_scale) / lim.least_scale) / (0.5 * np.log(lim.ratio))).astype(np.int64)
+        rows = pa.table({"source_key": table.column("source_key").combine_chunks().take(pa.array(at)), "bucket": number, "x": x[at]})
+        sums = rows.group_by(["source_key", "bucket"]).aggregate([("x", "min"), ("x", "max"), ("x", "count")])
+        yield from sums.select(["source_key", "bucket", "x_min", "x_max", "x_count"]).combine_chunks().to_batches()
+
+
+def whole_bars(laid: DataFrame, sound: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], lim: Limits) -> dict[str, float]:
+    """``spike_bars`` of each source that is cut into parts, from the ``buckets`` of all of them (some 20 rows a source)."""
+    cut = of_cut_sources(laid)
+    if cut is None:
+        return {}
+    sums = cut.mapInArrow(sound, "source_key string, bucket bigint, low double, high double, n bigint").groupBy("source_key", "bucket").agg(F.min("low"), F.max("high"), F.sum("n")).toArrow()
+    source, group = np.unique(np.array(sums.column(0).to_pylist(), dtype=str), return_inverse=True)
+    return dict(zip(source.tolist(), spike_bars(group, *(c.to_numpy() for c in sums.columns[2:]), len(source), lim).tolist(), strict=True))
+
+
 def false_positions(df: DataFrame, lim: Limits = Limits()) -> DataFrame:
     """``row_key``, ``false_speed``, ``false_latitude`` of the kept rows of vehicle positions that are a case of either.
 
@@ -240,20 +312,32 @@ def false_positions(df: DataFrame, lim: Limits = Limits()) -> DataFrame:
     in time are copies, of which the first to arrive counts. An empty input gives no rows; other columns are ignored.
     """
 
-    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    laid = kept_pings(df, ("latitude", "longitude", "speed"))
+    times = impossible_times(laid, lim)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         for table in blocks(batches):
             table, run, us = first_of_time(table, runs(table), table.column("event_us").to_numpy())
             lat, lon, speed = floats(table, "latitude"), floats(table, "longitude"), floats(table, "speed")
-            place = false_latitudes(run, us, lat, lon, speed, lim)
-            sound = np.where(place, np.nan, lat)
-            pace = false_speeds(run, speed, lim, sound, lon)
+            place = false_latitudes(run, us, lat, lon, speed, lim, of_runs(times, table, run))
+            yield table, run, speed, place, np.where(place, np.nan, lat), lon
+
+    def sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, run, speed, _, lat, lon in judged(batches):
+            yield from buckets(table, speed, out_or_held(run, speed, lim, lat, lon, None), lim)
+
+    bars = whole_bars(laid, sound, lim)
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, run, speed, place, lat, lon in judged(batches):
+            pace = false_speeds(run, speed, lim, lat, lon, bars=of_runs(bars, table, run))
             at = np.flatnonzero(place | pace)
             yield pa.RecordBatch.from_arrays([table.column("arrival").combine_chunks().take(pa.array(at)), pa.array(pace[at]), pa.array(place[at])], ["row_key", "false_speed", "false_latitude"])
 
-    return kept_pings(df, ("latitude", "longitude", "speed")).mapInArrow(flag, "row_key bigint, false_speed boolean, false_latitude boolean")
+    return laid.mapInArrow(flag, "row_key bigint, false_speed boolean, false_latitude boolean")
 
 
-def false_line_speeds(df: DataFrame, source: str = "line_id", time: str = "timestamp", order: str = "id", value: str = "max_speed", floor: str = "avg_speed", lim: Limits = Limits()) -> DataFrame:
+def false_line_speeds(df: DataFrame, source: str = "line_id", time: str = "timestamp", order: str = "id", value: str = "max_speed", floor: str = "avg_speed", lim: Limits = Limits(), hot_rows: int = HOT_ROWS) -> DataFrame:
     """``row_key`` of the rows whose ``value`` is a case for its line.
 
     Rows of one line and time all count, in the order of ``order``. A row without line or time is judged alone (range and floor).
@@ -262,12 +346,19 @@ def false_line_speeds(df: DataFrame, source: str = "line_id", time: str = "times
         F.coalesce(F.when(F.col(time).isNotNull(), F.col(source).cast("string")), F.concat(F.lit("~"), F.col(order).cast("string"))).alias("source_key"),
         F.coalesce(micros(time), F.lit(0)).alias("event_us"), F.col(order).cast("bigint").alias("arrival"), F.col(value).cast("double").alias("v"), F.col(floor).cast("double").alias("f"),
     )
-    laid = with_parts(rows).repartition("source_key", "part").sortWithinPartitions("source_key", "part", "event_us", "arrival")
+    laid = by_part(with_parts(rows, hot_rows, held=("v",)))
+
+    def sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in blocks(batches):
+            bar, v = floats(table, "f"), floats(table, "v")
+            yield from buckets(table, v, out_or_held(runs(table), v, lim, None, None, np.where(np.isnan(bar), -np.inf, bar)), lim)
+
+    bars = whole_bars(laid, sound, lim)
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
-            bar = floats(table, "f")
-            hit = false_speeds(runs(table), floats(table, "v"), lim, floor=np.where(np.isnan(bar), -np.inf, bar))
+            bar, run = floats(table, "f"), runs(table)
+            hit = false_speeds(run, floats(table, "v"), lim, floor=np.where(np.isnan(bar), -np.inf, bar), bars=of_runs(bars, table, run))
             yield pa.RecordBatch.from_arrays([table.column("arrival").combine_chunks().filter(pa.array(hit))], ["row_key"])
 
     return laid.mapInArrow(flag, "row_key bigint")

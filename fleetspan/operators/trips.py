@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from fleetspan.functions.clock import MICROS
 from fleetspan.functions.geo import EARTH_M, metres
 from fleetspan.operators.series import blocks, floats, runs
-from fleetspan.operators.spikes import Limits, false_latitudes, first_of_time, kept_pings
+from fleetspan.operators.spikes import Limits, false_latitudes, first_of_time, impossible_times, kept_pings, of_runs
 
 
 @dataclass(frozen=True)
@@ -229,11 +229,14 @@ def stops_and_trips(df: DataFrame, rules: TripRules = TripRules(), lim: Limits =
     vehicle with one ping has neither stop nor trip. An empty input gives no rows; other columns are ignored. A trip shares its first and last ping with the stops at its ends.
     """
 
+    laid = kept_pings(df, ("latitude", "longitude", "speed"))
+    times = impossible_times(laid, lim)
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
             table, run, us = first_of_time(table, runs(table), table.column("event_us").to_numpy())
             lat, lon = floats(table, "latitude"), floats(table, "longitude")
-            ok = ~false_latitudes(run, us, lat, lon, floats(table, "speed"), lim) & ~np.isnan(lat) & ~np.isnan(lon) & (np.abs(lon) <= 180)
+            ok = ~false_latitudes(run, us, lat, lon, floats(table, "speed"), lim, of_runs(times, table, run)) & ~np.isnan(lat) & ~np.isnan(lon) & (np.abs(lon) <= 180)
             name = table.column("source_key").combine_chunks().filter(pa.array(ok))
             run, us, lat, lon = run[ok], us[ok], lat[ok], lon[ok]
             found = segments_of(run, us, lat, lon, rules)
@@ -250,4 +253,4 @@ def stops_and_trips(df: DataFrame, rules: TripRules = TripRules(), lim: Limits =
                 ["vehicle_id", "is_stop", "started_us", "ended_us", "seconds", "metres", "pings", "latitude", "longitude"],
             )
 
-    return kept_pings(df, ("latitude", "longitude", "speed")).mapInArrow(decode, SEGMENTS)
+    return laid.mapInArrow(decode, SEGMENTS)

@@ -1,8 +1,11 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+import pytest
 
-from fleetspan.operators.spikes import Limits, deviate_limit, false_line_speeds, false_places, false_positions, false_speeds, group_median, held_runs
+from fleetspan.operators import series
+from fleetspan.operators.spikes import Limits, deviate_limit, false_line_speeds, false_places, false_positions, false_speeds, group_median, held_runs, kept_pings
+from fleetspan.operators.trips import stops_and_trips
 
 T0 = datetime(2018, 1, 1, 5)
 DDL = "row_id bigint, vehicle_id string, timestamp timestamp, latitude double, longitude double, speed double, part string, source_key string"
@@ -105,3 +108,47 @@ def test_a_spike_is_found_whatever_the_number_of_readings():
         assert not false_speeds(np.zeros(n, int), x, lim).any()
         x[n // 3] = 40.0
         assert np.flatnonzero(false_speeds(np.zeros(n, int), x, lim)).tolist() == [n // 2]
+
+
+def broken_drive():
+    """Seven drives with silences between; held values, false places and a spike at the cuts."""
+    rows = []
+    for k in range(7):
+        part = drive(40, seed=k, start=1000 * k)
+        for r in part:
+            r[2] += timedelta(hours=6 * k)
+        rows += part
+    for i in (*range(36, 40), *range(40, 44)):
+        rows[i][5] = 12.5  # 4 + 4
+    for i in (*range(116, 120), *range(120, 124)):
+        rows[i][3] = -23.85  # 4 + 4, longitude drifting
+    for i, r in enumerate(rows):
+        if i >= 240:
+            r[5] = r[5] / 3  # 1.8 times the top of this part, not of the vehicle
+    rows[250][5] = 38.0
+    rows[160][2], rows[160][4] = rows[159][2] + timedelta(seconds=1300), 10.0  # first of its part, impossible both ways
+    rows[199][4] = 10.0  # last of its part
+    for r in rows[200:240]:
+        r[2] = rows[199][2] + timedelta(seconds=1300 + 45 * (r[0] - 5000))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [30, 90])
+def test_a_hot_vehicle_has_the_cases_of_the_uncut_one(spark, hot, monkeypatch):
+    rows = broken_drive()
+    want = found(spark, rows)
+    assert {4000, 4039} <= set(want[1]) and {36, 1003} <= set(want[0]) and 6010 not in want[0] and {2036, 3003} <= set(want[1])
+    df = spark.createDataFrame([(*r, "p", "q") for r in rows], DDL)
+    trips = sorted(map(tuple, stops_and_trips(df).collect()))
+    monkeypatch.setattr(series.ordered, "__defaults__", (hot, True))
+    assert kept_pings(df, ("latitude", "longitude", "speed")).select("part").distinct().count() > 1
+    assert found(spark, rows) == want
+    assert sorted(map(tuple, stops_and_trips(df).collect())) == trips
+
+
+def test_a_hot_line_has_the_cases_of_the_uncut_one(spark):
+    rows = [(r[0], "9", r[2], r[5], 1.0) for r in broken_drive()]
+    df = spark.createDataFrame(rows, "id bigint, line_id string, timestamp timestamp, max_speed double, avg_speed double")
+    want = sorted(x[0] for x in false_line_speeds(df).collect())
+    assert 36 in want and 6010 not in want
+    assert sorted(x[0] for x in false_line_speeds(df, hot_rows=30).collect()) == want
