@@ -134,7 +134,7 @@ def false_places(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarr
     """Places that need more than ``kmh`` both from the sound place before and to the one after.
 
     A lone place between two that fit each other is decided at once; where impossible steps crowd, the sound places are the longest
-    chain of possible steps around them.
+    chain of possible steps around them. What is left of impossible steps is judged by ``_excursions``.
     """
     n = len(us)
     bad = np.zeros(n, dtype=bool)
@@ -160,13 +160,16 @@ def false_places(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarr
         while hi < n - 1 and run[hi + 1] == own and hi - group[-1] < 5:
             hi += 1
         idx = np.arange(lo, hi + 1)
-        length, back = np.ones(len(idx), dtype=int), np.full(len(idx), -1)
+        length, back, longest = np.ones(len(idx), dtype=int), np.full(len(idx), -1), np.ones(len(idx), dtype=int)
         for k in range(1, len(idx)):
-            far = max(0, k - 64)
-            ok = _kmh(lat, lon, us, idx[far:k], np.full(k - far, idx[k])) <= lim.kmh
-            if ok.any():
-                best = far + int(np.argmax(np.where(ok, length[far:k], 0)))
-                length[k], back[k] = length[best] + 1, best
+            far = k
+            while far > 0 and longest[far - 1] >= length[k]:  # else nothing before makes the chain longer
+                far, end = max(0, far - 64), far
+                ok = _kmh(lat, lon, us, idx[far:end], np.full(end - far, idx[k])) <= lim.kmh
+                best = far + int(np.argmax(np.where(ok, length[far:end], 0)))
+                if ok.any() and length[best] >= length[k]:
+                    length[k], back[k] = length[best] + 1, best
+            longest[k] = max(longest[k - 1], length[k])
         k = int(np.argmax(length))
         sound = np.zeros(len(idx), dtype=bool)
         while k >= 0:
@@ -177,7 +180,61 @@ def false_places(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarr
             at = np.searchsorted(good, x)
             if 0 < at < len(good) and _kmh(lat, lon, us, good[at - 1 : at], np.array([x]))[0] > lim.kmh and _kmh(lat, lon, us, np.array([x]), good[at : at + 1])[0] > lim.kmh:
                 bad[x] = True
-    return bad
+    return bad | _excursions(run, us, lat, lon, edges, bad, lim)
+
+
+def _lone(good: np.ndarray, first: int, last: int, a: int, b: int, us: np.ndarray, lat: np.ndarray, lon: np.ndarray, lim: Limits) -> np.ndarray | None:
+    """Which of the places first..last are impossible from a and to b both; None if a and b don't fit or one of them lies well between."""
+    if _kmh(lat, lon, us, good[a : a + 1], good[b : b + 1])[0] > lim.kmh:
+        return None
+    x = good[first : last + 1]
+    there, back = _kmh(lat, lon, us, np.full(len(x), good[a]), x) > lim.kmh, _kmh(lat, lon, us, x, np.full(len(x), good[b])) > lim.kmh
+    return there & back if (there | back).all() else None
+
+
+def _excursions(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.ndarray, edges: np.ndarray, bad: np.ndarray, lim: Limits) -> np.ndarray:
+    """Places of whole stretches, of any length, between two impossible steps whose outer sides fit each other.
+
+    The stretches between the impossible steps that are left are taken as sound or not such that the fewest impossible steps stay, then
+    the fewest places are left out. A stretch of which a place can be reached from one side and left for the other is no excursion.
+    """
+    out = np.zeros(len(us), dtype=bool)
+    good = np.flatnonzero(~bad)
+    left, right = np.searchsorted(good, edges, side="right") - 1, np.searchsorted(good, edges + 1)  # beside each step, as places in good
+    ok = (left >= 0) & (right < len(good))
+    left, right = left[ok], right[ok]
+    ok = (run[good[left]] == run[good[right]]) & (_kmh(lat, lon, us, good[left], good[right]) > lim.kmh)
+    left, right = np.unique(left[ok]), np.unique(right[ok])
+    for group in np.split(np.arange(len(left)), np.flatnonzero(np.diff(run[good[left]])) + 1):
+        if len(group) < 2:
+            continue
+        own = run[good[left[group[0]]]]
+        all_of = good[np.searchsorted(run[good], own) : np.searchsorted(run[good], own, side="right")]
+        wide = 111_200 * (np.ptp(lat[all_of]) + min(np.ptp(lon[all_of]), 180.0))  # no two places are further apart
+        reach = int(wide * 3.6e6 / lim.kmh)  # after so long any place can be reached
+        ends, starts, t = left[group], right[group], us[good]
+        m = len(group)
+        cost: list[tuple[int, int]] = [(0, 0)]
+        came = [0] * (m + 1)
+        for j in range(1, m + 1):  # stretch j follows step j - 1
+            best, came_from, b = (cost[j - 1][0] + 1, cost[j - 1][1]), j - 1, starts[j - 1]
+            for i in range(j - 2, -1, -1):  # stretches i + 1 to j - 1 are left out
+                a, first, last = ends[i], starts[i], ends[j - 1]
+                k = first + np.searchsorted(t[first : last + 1], t[a] + reach)
+                if k <= last and t[k] <= t[b] - reach:
+                    break
+                this = (cost[i][0], cost[i][1] + int(last - first + 1))
+                if this < best and _lone(good, first, last, a, b, us, lat, lon, lim) is not None:
+                    best, came_from = this, i
+            cost.append(best)
+            came[j] = came_from
+        j = m
+        while j > 0:
+            if came[j] < j - 1:
+                i = came[j]
+                out[good[starts[i] : ends[j - 1] + 1]] = _lone(good, starts[i], ends[j - 1], ends[i], starts[j - 1], us, lat, lon, lim)
+            j = came[j]
+    return out
 
 
 def sound_but_for_steps(run: np.ndarray, lat: np.ndarray, lon: np.ndarray, speed: np.ndarray, lim: Limits) -> tuple[np.ndarray, np.ndarray]:

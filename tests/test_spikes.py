@@ -152,3 +152,31 @@ def test_a_hot_line_has_the_cases_of_the_uncut_one(spark):
     want = sorted(x[0] for x in false_line_speeds(df).collect())
     assert 36 in want and 6010 not in want
     assert sorted(x[0] for x in false_line_speeds(df, hot_rows=30).collect()) == want
+
+
+def test_an_excursion_of_any_length_is_impossible():
+    n, lim = 400, Limits()
+    us, lat, lon = np.arange(n) * 45_000_000, np.full(n, -23.5) + 1e-4 * np.arange(n), np.full(n, -46.6)
+    for length in (1, 2, 5, 9, 80):
+        away = lon.copy()
+        away[100 : 100 + length] += 3.0  # 300 km
+        assert np.flatnonzero(false_places(np.zeros(n, int), us, lat, away, lim)).tolist() == list(range(100, 100 + length))
+    away = lon.copy()
+    away[100:] += 3.0  # a step for good
+    assert not false_places(np.zeros(n, int), us, lat, away, lim).any()
+    away[100:390] -= 1.5
+    away[390:] -= 3.0  # 150 km: in more than three hours it can drive there and back
+    assert not false_places(np.zeros(n, int), us, lat, away, lim).any()
+    two = np.concatenate([lon, lon])
+    two[100:107] += 3.0
+    two[n + 50 : n + 70] += 3.0
+    two[n + 60] -= 9.0  # a lone place inside the excursion
+    got = np.flatnonzero(false_places(np.repeat([0, 1], n), np.tile(us, 2), np.tile(lat, 2), two, lim)).tolist()
+    assert got == [*range(100, 107), *range(n + 50, n + 70)]
+
+
+def test_a_crowd_of_false_places_longer_than_64():
+    n = 300
+    us, lat, lon = np.arange(n) * 45_000_000, np.full(n, -23.5), np.full(n, -46.6)
+    lon[100:180] += 20 + 10 * (np.arange(80) % 7)  # each far from the next
+    assert np.flatnonzero(false_places(np.zeros(n, int), us, lat, lon, Limits())).tolist() == list(range(100, 180))
