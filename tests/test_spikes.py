@@ -180,3 +180,9 @@ def test_a_crowd_of_false_places_longer_than_64():
     us, lat, lon = np.arange(n) * 45_000_000, np.full(n, -23.5), np.full(n, -46.6)
     lon[100:180] += 20 + 10 * (np.arange(80) % 7)  # each far from the next
     assert np.flatnonzero(false_places(np.zeros(n, int), us, lat, lon, Limits())).tolist() == list(range(100, 180))
+
+
+def test_a_spike_alone_on_its_day_is_found(spark):
+    rows = drive(200)
+    rows += [[900, "1", T0 + timedelta(days=900), None, None, 95.0]]
+    assert found(spark, rows)[0] == [900]
