@@ -23,7 +23,7 @@ from fleetspan.operators.series import HOT_ROWS, blocks, by_part, floats, names,
 
 @dataclass(frozen=True)
 class Limits:
-    """What a reading may be. ``most`` is the greatest share of spikes of a source; a bar below ``least_scale`` counts as that.
+    """What a reading may be. ``most`` is the greatest share of spikes of a source (rounded up, so a short one can have one); a bar below ``least_scale`` counts as that.
 
     ``alpha`` is the level of ``deviate_limit``, which decides nothing here.
     """
@@ -98,7 +98,7 @@ def spike_bars(group: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarr
     so_far = np.cumsum(count) - (np.cumsum(total) - total)[g]  # readings of the group up to the entry
     above = (total[g] - so_far)[:-1]
     same = g[1:] == g[:-1]
-    gap = same & (least[1:] >= lim.ratio * np.maximum(most[:-1], lim.least_scale)) & (above <= np.floor(lim.most * total)[g[:-1]]) & (so_far[:-1] >= 3)
+    gap = same & (least[1:] >= lim.ratio * np.maximum(most[:-1], lim.least_scale)) & (above <= np.ceil(lim.most * total)[g[:-1]]) & (so_far[:-1] >= 3)
     np.minimum.at(bars, g[1:][gap], least[1:][gap])
     return bars
 

@@ -186,3 +186,17 @@ def test_a_spike_alone_on_its_day_is_found(spark):
     rows = drive(200)
     rows += [[900, "1", T0 + timedelta(days=900), None, None, 95.0]]
     assert found(spark, rows)[0] == [900]
+
+
+def test_a_short_source_can_have_a_spike_and_a_tenth_is_the_most():
+    lim = Limits()
+    for n in (4, 5, 9):
+        x = np.linspace(20, 40, n)
+        x[1] = 90.0
+        assert np.flatnonzero(false_speeds(np.zeros(n, int), x, lim)).tolist() == [1]
+    assert not false_speeds(np.zeros(3, int), np.array([20.0, 90, 25]), lim).any()
+    x = np.linspace(20, 40, 100)
+    x[5:15] = 90.0 + np.arange(10)
+    assert np.flatnonzero(false_speeds(np.zeros(100, int), x, lim)).tolist() == list(range(5, 15))
+    x[15] = 90.0
+    assert not false_speeds(np.zeros(100, int), x, lim).any()
