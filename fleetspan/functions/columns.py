@@ -85,3 +85,20 @@ def valid_email(text: Column) -> Column:
 def valid_phone(text: Column) -> Column:
     """Ten or eleven digits once all else is taken away."""
     return F.coalesce(F.length(F.regexp_replace(text, r"\D", "")).between(10, 11), F.lit(False))
+
+
+def service_quality(on_time: Column, occupancy: Column, kmh: Column, full_kmh: float = 50.0) -> Column:
+    """0 to 100 from the shares on time (40) and occupied (30) and the speed (30 at ``full_kmh``); null if one is unknown."""
+    score = on_time * 40 + occupancy * 30 + kmh / full_kmh * 30
+    return F.when(score.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)))
+
+
+def days_between(start: Column, end: Column) -> Column:
+    """Array of the times from ``start``, a day apart, up to ``end``; empty if ``end`` is earlier, null if one is unknown. ``explode`` gives a row each."""
+    return F.when(start <= end, F.sequence(start, end, F.expr("interval 1 day"))).when(start > end, F.array().cast("array<timestamp>"))
+
+
+def partition_path(ts: Column, parts: tuple[str, ...] = ("year", "month", "day")) -> Column:
+    """``year=2024/month=01/day=15``, and ``hour`` if asked for; all but the year with two digits. Null for an unknown time."""
+    pattern = {"year": "y", "month": "MM", "day": "dd", "hour": "HH"}
+    return F.concat(*(F.concat(F.lit(("/" if k else "") + f"{p}="), F.date_format(ts, pattern[p])) for k, p in enumerate(parts)))

@@ -161,3 +161,14 @@ def test_windows_equal_a_plain_count(spark):
     rows = kpi.windowed(df, "route_code").collect()
     top = max(rows, key=lambda r: r["position_count"])
     assert len(rows) == 9 and (top["vehicle_count"], top["position_count"], top["avg_speed"], top["moving_count"]) == (2, 3, 6.0, 1)
+
+
+def test_service_quality_date_range_and_partition_path(spark):
+    df = spark.createDataFrame([(0.95, 0.75, 35.0), (1.0, 1.0, 90.0), (0.5, None, 10.0)], "a double, b double, c double")
+    got = [r[0] for r in df.select(X.service_quality(F.col("a"), F.col("b"), F.col("c"))).collect()]
+    assert got[:2] == pytest.approx([81.5, 100.0]) and got[2] is None
+    df = spark.createDataFrame([(1, T0, T0 + timedelta(days=2, hours=1)), (2, T0, T0), (3, T0, T0 - timedelta(days=1)), (4, T0, None)], "k int, s timestamp, e timestamp")
+    days = df.select("k", F.explode(X.days_between(F.col("s"), F.col("e"))).alias("t"))
+    assert sorted(tuple(r) for r in days.collect()) == [(1, T0), (1, T0 + timedelta(days=1)), (1, T0 + timedelta(days=2)), (2, T0)]
+    parts = one(df.where("k = 2").select(X.partition_path(F.col("s")), X.partition_path(F.col("s"), ("year", "month", "day", "hour")), X.partition_path(F.lit(None).cast("timestamp"))))
+    assert tuple(parts) == ("year=2018/month=01/day=01", "year=2018/month=01/day=01/hour=08", None)
