@@ -1,8 +1,8 @@
 """Readings that are false for their own source: spikes, stuck values, impossible values and impossible places.
 
-Spikes are decided exactly, by the readings' values alone: the lowest gap between two readings that follow each other by size
-and differ by ``ratio`` or more parts the sound ones from the spikes, looked for among the largest ``most`` of a source's
-readings. The number of readings, the day and the hour do not matter. Constant runs and ranges are checked on their own.
+Spikes are the outliers of a robust seasonal-trend decomposition of each source by the generalised extreme studentised deviate test
+(``deviates``). An exact check follows: the lowest gap between two readings that follow each other by size and differ by ``ratio`` or more
+parts the sound ones from the spikes, if most of what is above it are outliers. Constant runs and ranges are checked on their own.
 """
 
 from __future__ import annotations
@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from fleetspan.functions.clock import micros
 from fleetspan.functions.geo import metres
 from fleetspan.operators.delivery import identified
+from fleetspan.operators.deviates import group_median, outliers, residuals
 from fleetspan.operators.series import HOT_ROWS, blocks, by_part, floats, names, of_cut_sources, ordered, runs, with_parts
 
 
 @dataclass(frozen=True)
 class Limits:
-    """What a reading may be. ``most`` is the greatest share of spikes of a source (rounded up, so a short one can have one); a bar below ``least_scale`` counts as that.
+    """What a reading may be. A bar and a deviation below ``least_scale`` count as that.
 
-    ``alpha`` is the level of ``deviate_limit``, which decides nothing here.
+    ``level``: chance of a sound reading to be beyond the deviate limit. ``most``: greatest share of spikes of a source, rounded up. More than
+    the share ``common`` above a gap are spikes only if they are scattered, ``stretch`` or fewer in a row on average: else the source
+    drives so at times. ``odd``: least share of outliers among the readings above a gap.
     """
 
     low: float = 0.0
@@ -37,42 +40,14 @@ class Limits:
     moved_m: float = 100.0
     drift_m: float = 20.0
     walk_kmh: float = 3.0
-    alpha: float = 0.2
-    most: float = 0.1
+    level: float = 0.05
+    most: float = 0.35
+    common: float = 0.1
+    stretch: float = 4.0
+    odd: float = 0.5
     least_scale: float = 1.0
 
 
-def group_median(group: np.ndarray, x: np.ndarray, size: int) -> np.ndarray:
-    """Median of x in each group 0..size-1 (NaN where empty)."""
-    out = np.full(size, np.nan)
-    if len(x):
-        by = np.lexsort((x, group))
-        g, v = group[by], x[by]
-        start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        n = np.diff(np.concatenate([start, [len(g)]]))
-        out[g[start]] = (v[start + (n - 1) // 2] + v[start + n // 2]) / 2
-    return out
-
-
-def normal_quantile(p: np.ndarray) -> np.ndarray:
-    """Upper quantile of the normal law for small tail probabilities 1 - p, by Newton steps on its asymptotic start."""
-    tail = 1 - p
-    z = np.sqrt(np.maximum(-2 * np.log(np.maximum(tail, 1e-300)), 1e-12))
-    z = z - (2.515517 + 0.802853 * z + 0.010328 * z * z) / (1 + 1.432788 * z + 0.189269 * z * z + 0.001308 * z**3)
-    return np.maximum(z, 0.0)
-
-
-def deviate_limit(n: np.ndarray, i: np.ndarray, alpha: float) -> np.ndarray:
-    """Critical value of the i-th most extreme deviate (from 1) of n; infinite where too few readings are left."""
-    left = n - i
-    ok = left >= 3
-    left = np.where(ok, left, 3).astype(float)
-    df = left - 1
-    z = normal_quantile(1 - alpha / (2 * (left + 1)))
-    t = z + (z**3 + z) / (4 * df) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * df**2) + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * df**3)
-    return np.where(ok, left * t / np.sqrt((df + t * t) * (left + 1)), np.inf)
-
-
 def held_runs(run: np.ndarray, x: np.ndarray, least: int) -> np.ndarray:
     """Number of the run of equal values that each reading belongs to, -1 for runs shorter than ``least``."""
     if not len(x):
@@ -83,35 +58,68 @@ def held_runs(run: np.ndarray, x: np.ndarray, least: int) -> np.ndarray:
     return np.where(n[number] >= least, number, -1)
 
 
-def spike_bars(group: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray, size: int, lim: Limits) -> np.ndarray:
+def spike_bars(group: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray, odd: np.ndarray, begins: np.ndarray, size: int, lim: Limits) -> np.ndarray:
     """The least spike of each group 0..size-1, infinite where there is none.
 
-    Each entry stands for ``n`` readings from ``low`` to ``high`` without a gap between them: a reading, or a bucket of them.
-    At least three readings must be left below the gap.
+    Each entry, in order of group and size, stands for ``n`` readings from ``low`` to ``high`` without a gap between them, ``odd`` of
+    them outliers: a reading, or a bucket of them. The sum of ``begins`` up to an entry is the number of stretches of readings, in order of
+    time, from that size on. At least three readings must be left below the gap.
     """
     bars = np.full(size, np.inf)
-    by = np.lexsort((low, group))
-    g, least, most, count = group[by], low[by], high[by], n[by]
-    if len(g) < 2:
+    if not len(group):
         return bars
-    total = np.bincount(g, count, size)
-    so_far = np.cumsum(count) - (np.cumsum(total) - total)[g]  # readings of the group up to the entry
-    above = (total[g] - so_far)[:-1]
-    same = g[1:] == g[:-1]
-    gap = same & (least[1:] >= lim.ratio * np.maximum(most[:-1], lim.least_scale)) & (above <= np.ceil(lim.most * total)[g[:-1]]) & (so_far[:-1] >= 3)
+
+    def within(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = np.bincount(group, x, size)
+        return total[group], np.cumsum(x) - (np.cumsum(total) - total)[group]
+
+    begun = within(begins)[1]
+    (total, so_far), (odd_total, odd_so_far) = within(n), within(odd)
+    some = n > 0
+    g, least, most, total, so_far, begun = group[some], low[some], high[some], total[some], so_far[some], begun[some]
+    above, odd_above = (total - so_far)[:-1], (odd_total[some] - odd_so_far[some])[:-1]
+    gap = (g[1:] == g[:-1]) & (least[1:] >= lim.ratio * np.maximum(most[:-1], lim.least_scale)) & (so_far[:-1] >= 3)
+    gap &= (above <= np.ceil(lim.most * total[:-1])) & (odd_above >= lim.odd * above)
+    gap &= (above <= np.ceil(lim.common * total[:-1])) | (above <= lim.stretch * begun[1:])
     np.minimum.at(bars, g[1:][gap], least[1:][gap])
     return bars
 
 
-def spikes(run: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits, known: dict[int, float] | None = None) -> np.ndarray:
+def stretches(run: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, size, change) such that the sum of the changes of a run up to a size is the number of its stretches of readings from that size on.
+
+    ``size`` is a whole number from 0, in order of run and time. A reading larger than the one before begins a stretch for all sizes between the two.
+    """
+    before = np.concatenate([[-1], size[:-1]])
+    before[np.concatenate([[True], run[1:] != run[:-1]])] = -1
+    up = np.flatnonzero(size > before)
+    return np.concatenate([run[up], run[up]]), np.concatenate([before[up] + 1, size[up] + 1]), np.concatenate([np.ones(len(up)), -np.ones(len(up))])
+
+
+def odd_ones(run: np.ndarray, us: np.ndarray, x: np.ndarray, lim: Limits) -> np.ndarray:
+    """The outliers of each run, of readings in order of run and time."""
+    _, run = np.unique(run, return_inverse=True)
+    return outliers(run, residuals(run, us, x), lim.level, min(0.5, lim.most / lim.odd), lim.least_scale)
+
+
+def spikes(run: np.ndarray, us: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits, known: dict[int, float] | None = None) -> np.ndarray:
     """Spikes among the readings that are not ``out`` already. ``known``: bars of runs that are parts of a source, from the whole of it."""
     at = np.flatnonzero(~out)
     if not len(at):
         return np.zeros(len(x), dtype=bool)
-    bars = spike_bars(run[at], x[at], x[at], np.ones(len(at)), run.max() + 1, lim)
-    for r, bar in (known or {}).items():
-        if r < len(bars):
-            bars[r] = bar
+    r, v = run[at], x[at]
+    by = np.lexsort((v, r))
+    total = np.bincount(r, minlength=run.max() + 1)
+    begin = np.cumsum(total) - total
+    place = np.empty(len(at), dtype=np.int64)
+    place[by] = np.arange(len(at))
+    of, size, change = stretches(r, place - begin[r])
+    inner = size < total[of]
+    begins = np.bincount(begin[of[inner]] + size[inner], change[inner], len(at))
+    bars = spike_bars(r[by], v[by], v[by], np.ones(len(at)), odd_ones(r, us[at], v, lim)[by].astype(float), begins, len(total), lim)
+    for one, bar in (known or {}).items():
+        if one < len(bars):
+            bars[one] = bar
     return ~out & (x >= bars[run])
 
 
@@ -268,11 +276,11 @@ def false_latitudes(run: np.ndarray, us: np.ndarray, lat: np.ndarray, lon: np.nd
     return hit
 
 
-def false_speeds(run: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None = None, lon: np.ndarray | None = None, floor: np.ndarray | None = None, bars: dict[int, float] | None = None) -> np.ndarray:
+def false_speeds(run: np.ndarray, us: np.ndarray, speed: np.ndarray, lim: Limits, lat: np.ndarray | None = None, lon: np.ndarray | None = None, floor: np.ndarray | None = None, bars: dict[int, float] | None = None) -> np.ndarray:
     """Cases of speed; with places, values held while standing are none. ``floor``: what a reading may not be below. ``bars``: see ``spikes``."""
     hit = out_or_held(run, speed, lim, lat, lon, floor)
     at = np.flatnonzero(~np.isnan(speed))
-    hit[at] |= spikes(run[at], speed[at], hit[at], lim, bars)
+    hit[at] |= spikes(run[at], us[at], speed[at], hit[at], lim, bars)
     return hit
 
 
@@ -342,14 +350,27 @@ def impossible_times(laid: DataFrame, lim: Limits) -> dict[str, np.ndarray]:
     return {name: us[source == name] for name in sources}
 
 
-def buckets(table: pa.Table, x: np.ndarray, out: np.ndarray, lim: Limits) -> Iterator[pa.RecordBatch]:
+BUCKETS = "source_key string, bucket bigint, low double, high double, n bigint, odd bigint, begins bigint"
+
+
+def buckets(table: pa.Table, run: np.ndarray, us: np.ndarray, x: np.ndarray, out: np.ndarray, lim: Limits) -> Iterator[pa.RecordBatch]:
     """Readings that are not ``out`` by source and size; a bucket is narrower than ``ratio``, so it holds no gap."""
     at = np.flatnonzero(~out & ~np.isnan(x))
-    if len(at):
-        number = np.floor(np.log(np.maximum(x[at], lim.least_scale) / lim.least_scale) / (0.5 * np.log(lim.ratio))).astype(np.int64)
-        rows = pa.table({"source_key": table.column("source_key").combine_chunks().take(pa.array(at)), "bucket": number, "x": x[at]})
-        sums = rows.group_by(["source_key", "bucket"]).aggregate([("x", "min"), ("x", "max"), ("x", "count")])
-        yield from sums.select(["source_key", "bucket", "x_min", "x_max", "x_count"]).combine_chunks().to_batches()
+    if not len(at):
+        return
+    r, v = run[at], x[at]
+    number = np.floor(np.log(np.maximum(v, lim.least_scale) / lim.least_scale) / (0.5 * np.log(lim.ratio))).astype(np.int64)
+    of, size, change = stretches(r, number)
+    names_of = np.array(names(table, run), dtype=object)
+    _, order = np.unique(run, return_inverse=True)
+    label = dict(zip(run.tolist(), order.tolist(), strict=True))
+    rows = pa.table({
+        "source_key": pa.array(names_of[[label[k] for k in np.concatenate([r, of]).tolist()]], pa.string()), "bucket": np.concatenate([number, size]),
+        "low": np.concatenate([v, np.full(len(of), np.inf)]), "high": np.concatenate([v, np.full(len(of), -np.inf)]), "n": np.concatenate([np.ones(len(at), np.int64), np.zeros(len(of), np.int64)]),
+        "odd": np.concatenate([odd_ones(r, us[at], v, lim).astype(np.int64), np.zeros(len(of), np.int64)]), "begins": np.concatenate([np.zeros(len(at), np.int64), change.astype(np.int64)]),
+    })
+    sums = rows.group_by(["source_key", "bucket"]).aggregate([("low", "min"), ("high", "max"), ("n", "sum"), ("odd", "sum"), ("begins", "sum")])
+    yield from sums.select(["source_key", "bucket", "low_min", "high_max", "n_sum", "odd_sum", "begins_sum"]).combine_chunks().to_batches()
 
 
 def whole_bars(laid: DataFrame, sound: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], lim: Limits) -> dict[str, float]:
@@ -357,9 +378,10 @@ def whole_bars(laid: DataFrame, sound: Callable[[Iterator[pa.RecordBatch]], Iter
     cut = of_cut_sources(laid)
     if cut is None:
         return {}
-    sums = cut.mapInArrow(sound, "source_key string, bucket bigint, low double, high double, n bigint").groupBy("source_key", "bucket").agg(F.min("low"), F.max("high"), F.sum("n")).toArrow()
+    sums = cut.mapInArrow(sound, BUCKETS).groupBy("source_key", "bucket").agg(F.min("low"), F.max("high"), F.sum("n"), F.sum("odd"), F.sum("begins")).toArrow()
     source, group = np.unique(np.array(sums.column(0).to_pylist(), dtype=str), return_inverse=True)
-    return dict(zip(source.tolist(), spike_bars(group, *(c.to_numpy() for c in sums.columns[2:]), len(source), lim).tolist(), strict=True))
+    by = np.lexsort((sums.column(1).to_numpy(), group))
+    return dict(zip(source.tolist(), spike_bars(group[by], *(c.to_numpy()[by].astype(float) for c in sums.columns[2:]), len(source), lim).tolist(), strict=True))
 
 
 def false_positions(df: DataFrame, lim: Limits = Limits()) -> DataFrame:
@@ -381,13 +403,13 @@ def false_positions(df: DataFrame, lim: Limits = Limits()) -> DataFrame:
 
     def sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, run, speed, _, lat, lon in judged(batches):
-            yield from buckets(table, speed, out_or_held(run, speed, lim, lat, lon, None), lim)
+            yield from buckets(table, run, table.column("event_us").to_numpy(), speed, out_or_held(run, speed, lim, lat, lon, None), lim)
 
     bars = whole_bars(laid, sound, lim)
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, run, speed, place, lat, lon in judged(batches):
-            pace = false_speeds(run, speed, lim, lat, lon, bars=of_runs(bars, table, run))
+            pace = false_speeds(run, table.column("event_us").to_numpy(), speed, lim, lat, lon, bars=of_runs(bars, table, run))
             at = np.flatnonzero(place | pace)
             yield pa.RecordBatch.from_arrays([table.column("arrival").combine_chunks().take(pa.array(at)), pa.array(pace[at]), pa.array(place[at])], ["row_key", "false_speed", "false_latitude"])
 
@@ -407,15 +429,15 @@ def false_line_speeds(df: DataFrame, source: str = "line_id", time: str = "times
 
     def sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
-            bar, v = floats(table, "f"), floats(table, "v")
-            yield from buckets(table, v, out_or_held(runs(table), v, lim, None, None, np.where(np.isnan(bar), -np.inf, bar)), lim)
+            bar, v, run = floats(table, "f"), floats(table, "v"), runs(table)
+            yield from buckets(table, run, table.column("event_us").to_numpy(), v, out_or_held(run, v, lim, None, None, np.where(np.isnan(bar), -np.inf, bar)), lim)
 
     bars = whole_bars(laid, sound, lim)
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
             bar, run = floats(table, "f"), runs(table)
-            hit = false_speeds(run, floats(table, "v"), lim, floor=np.where(np.isnan(bar), -np.inf, bar), bars=of_runs(bars, table, run))
+            hit = false_speeds(run, table.column("event_us").to_numpy(), floats(table, "v"), lim, floor=np.where(np.isnan(bar), -np.inf, bar), bars=of_runs(bars, table, run))
             yield pa.RecordBatch.from_arrays([table.column("arrival").combine_chunks().filter(pa.array(hit))], ["row_key"])
 
     return laid.mapInArrow(flag, "row_key bigint")

@@ -151,7 +151,9 @@ def _stops_of(lo: int, hi: int, still: np.ndarray, lat: np.ndarray, lon: np.ndar
         i = max(i, floor)
         if i > j:
             continue
-        for _ in range(3):
+        tried: set[tuple[int, int]] = set()
+        while (i, j) not in tried:  # until the series is that around its own median, or comes back to one it was
+            tried.add((i, j))
             la, lo_ = np.median(lat[i : j + 1]), np.median(lon[i : j + 1])
             a, b = max(floor, i - 400), min(hi, j + 400)
             near = metres(la, lo_, lat[a : b + 1], lon[a : b + 1]) <= rules.radius_m

@@ -4,13 +4,20 @@ import numpy as np
 import pytest
 
 from fleetspan.operators import series
-from fleetspan.operators.spikes import Limits, deviate_limit, false_line_speeds, false_places, false_positions, false_speeds, group_median, held_runs, kept_pings
+from fleetspan.operators.deviates import DAY, HOUR, deviate_limit, group_median, outliers, residuals
+from fleetspan.operators.spikes import Limits, _kmh, false_line_speeds, false_places, false_positions, held_runs, kept_pings
+from fleetspan.operators.spikes import false_speeds as false_speeds_at
 from fleetspan.operators.trips import stops_and_trips
 
 T0 = datetime(2018, 1, 1, 5)
 DDL = "row_id bigint, vehicle_id string, timestamp timestamp, latitude double, longitude double, speed double, part string, source_key string"
 
 
+def false_speeds(run, x, lim):
+    """Readings 45 seconds apart."""
+    return false_speeds_at(run, np.arange(len(x)) * 45_000_000, x, lim)
+
+
 def drive(n, vehicle="1", seed=0, start=0):
     """A bus that drives north-east with speeds up to 40."""
     r = np.random.default_rng(seed)
@@ -94,7 +101,7 @@ def test_small_parts():
     assert np.allclose(group_median(g, np.array([1.0, 3.0, 5.0, 1.0, 9.0, 2.0]), 4), [2, 5, np.nan, 2], equal_nan=True)
     assert held_runs(np.zeros(5, int), np.array([1.0, 1, 1, 2, 2]), 3).tolist() == [0, 0, 0, -1, -1]
     # published critical values for 54 readings at 0.05
-    got = deviate_limit(np.full(3, 54), np.array([1, 5, 10]), 0.05)
+    got = [deviate_limit(np.array([n]), 0.05 / (2 * n))[0] for n in (54, 50, 45)]
     assert np.allclose(got, [3.159, 3.120, 3.068], atol=0.03)
     assert not false_places(np.zeros(2, int), np.array([0, 1]), np.array([0.0, 50.0]), np.zeros(2), Limits()).any()
 
@@ -200,3 +207,89 @@ def test_a_short_source_can_have_a_spike_and_a_tenth_is_the_most():
     assert np.flatnonzero(false_speeds(np.zeros(100, int), x, lim)).tolist() == list(range(5, 15))
     x[15] = 90.0
     assert not false_speeds(np.zeros(100, int), x, lim).any()
+
+
+def test_the_deviate_test_equals_one_that_starts_anew_after_each_removal():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 3, 4, 7, 30, 90):
+        x = np.round(r.normal(0, 3, n), 1) + np.where(r.random(n) < 0.1, 40, 0)
+        left, count = list(x), 0
+        for i in range(int(np.ceil(0.5 * n))):
+            mid = np.median(left)
+            scale = max(1.4826 * sorted(abs(np.array(left) - mid))[(len(left) + 1) // 2 - 1], 1.0)
+            if (max(left) - mid) / scale > deviate_limit(np.array([len(left)]), 0.05)[0]:
+                count = i + 1
+            left.remove(max(left))
+        want = np.sort(x)[n - count :].tolist()
+        got = outliers(np.concatenate([np.zeros(n, int), np.ones(5, int)]), np.concatenate([x, np.zeros(5)]), 0.05, 0.5, 1.0)
+        assert sorted(np.concatenate([x, np.zeros(5)])[got].tolist()) == want
+
+
+def test_trend_and_season_are_taken_out():
+    us = np.arange(0, 20 * DAY, 300_000_000)
+    x = 20.0 + 10 * (us % DAY // HOUR == 8) + 15 * (us // DAY % 7 == 3)
+    left = residuals(np.zeros(len(us), int), us, x)
+    assert (np.abs(left) <= 1e-9).mean() > 0.97
+    x[1000] += 50
+    assert residuals(np.zeros(len(us), int), us, x)[1000] > 35
+
+
+def longest_chain(us, lat, lon, lim):
+    """By force: the longest chain of possible steps over all places; the others are false if impossible from and to their sound neighbours."""
+    n = len(us)
+    length, back = np.ones(n, int), np.full(n, -1)
+    for k in range(1, n):
+        ok = np.flatnonzero(_kmh(lat, lon, us, np.arange(k), np.full(k, k)) <= lim.kmh)
+        if len(ok) and length[ok].max() + 1 > length[k]:
+            back[k] = ok[np.argmax(length[ok])]
+            length[k] = length[back[k]] + 1
+    k, sound = int(np.argmax(length)), []
+    while k >= 0:
+        sound.append(k)
+        k = back[k]
+    good, out = np.array(sound[::-1]), []
+    for x in sorted(set(range(n)) - set(sound)):
+        at = np.searchsorted(good, x)
+        if 0 < at < len(good) and all(_kmh(lat, lon, us, np.array([a]), np.array([b]))[0] > lim.kmh for a, b in ((good[at - 1], x), (x, good[at]))):
+            out.append(x)
+    return out
+
+
+@pytest.mark.parametrize("second", [1, 45])
+def test_false_places_equal_the_longest_chain_by_force(second):
+    r, lim = np.random.default_rng(second), Limits()
+    for trial in range(25):
+        n = 480
+        us = np.cumsum(r.integers(1, 3, n)) * second * 1_000_000
+        lat, lon = -23.5 + 6e-6 * us / 1e6 / 10, np.full(n, -46.6)
+        at = 40
+        while at < n - 230:
+            size = int(r.choice([1, 1, 2, 3, 5, 12, 60, 70, 130, 200]))
+            kind = r.integers(3)
+            size = min(size, n - 40 - at, 200)
+            if kind == 0:
+                lon[at : at + size] += 3.0  # all at one other place
+            elif kind == 1:
+                lon[at : at + size] += 9.0 + 7 * (np.arange(size) % 5)  # each far from the next
+            else:
+                lon[at : at + size : 2] += 5.0  # every other one
+            at += size + int(r.integers(210, 260))
+        assert np.flatnonzero(false_places(np.zeros(n, int), us, lat, lon, lim)).tolist() == longest_chain(us, lat, lon, lim)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.2, 0.3])
+def test_scattered_spikes_are_found_up_to_a_third(share):
+    r, lim, n = np.random.default_rng(7), Limits(), 2000
+    x = r.uniform(5, 40, n)
+    at = np.sort(r.choice(n, int(share * n), replace=False))
+    x[at] = r.uniform(75, 200, len(at))
+    assert np.flatnonzero(false_speeds(np.zeros(n, int), x, lim)).tolist() == at.tolist()
+
+
+def test_driving_of_a_mostly_parked_vehicle_is_usual():
+    r, lim, n = np.random.default_rng(8), Limits(), 600
+    x = r.uniform(0, 8, n)
+    x[100:160], x[400:450] = r.uniform(25, 45, 60), r.uniform(25, 45, 50)
+    assert not false_speeds(np.zeros(n, int), x, lim).any()
+    x[300] = 95.0
+    assert np.flatnonzero(false_speeds(np.zeros(n, int), x, lim)).tolist() == [300]
