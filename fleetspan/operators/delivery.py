@@ -29,7 +29,7 @@ BUCKET_SECONDS = 3600
 SLOT_BUCKETS = 6
 SLOTS = 16
 SEGMENTS = 4
-ROUNDS = 3
+ROUNDS = 2
 BITS_PER_ID = 12
 PROBES = 4
 
@@ -245,9 +245,9 @@ class DeliveryLog:
         older = self.stored(spark, number)
         maybe = rows.where(F.col("kind") == MAYBE)
         keys = ["slot", "bucket", "source_key", "event_us"]
-        seen = older.where(F.col("kind").isin(NEW, MAYBE)).select(*keys, F.lit(True).alias("was")).distinct()
-        verified = maybe.select(*keys, "arrival").join(seen, keys, "left")
-        return sure.unionByName(verified.select(F.when(F.col("was"), SURPLUS).otherwise(NEW).alias("kind"), *cols))
+        seen = older.where(F.col("kind").isin(NEW, MAYBE)).select(*keys)
+        known, fresh = maybe.join(seen, keys, "left_semi"), maybe.join(seen, keys, "left_anti")
+        return sure.unionByName(known.select(F.lit(SURPLUS).alias("kind"), *cols)).unionByName(fresh.select(F.lit(NEW).alias("kind"), *cols))
 
 
 def surplus_rows(df: DataFrame, source: str = "vehicle_id", time: str = "timestamp", order: str = "row_id", rounds: int = ROUNDS, path: str | None = None, bucket_seconds: int = BUCKET_SECONDS, slots: int = SLOTS, segments: int = SEGMENTS) -> DataFrame:
