@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,16 @@ from fleetspan.functions.clock import micros, milli_text, second_text
 from fleetspan.functions.vehicle import bare_vehicle
 from fleetspan.operators.delivery import surplus_rows
 from fleetspan.operators.grid import empty_slots, regular_series
-from fleetspan.operators.late import Lateness, corrected_periods, partials
+from fleetspan.operators.late import Lateness, PeriodStore
 from fleetspan.operators.near import containing_regions, near_pairs
 from fleetspan.operators.nested import record_rows
 from fleetspan.operators.spikes import false_line_speeds, false_positions
 from fleetspan.operators.trips import stops_and_trips
 from fleetspan.session import table
+from fleetspan.sources.lineage import new_store
 
-API_LISTS = ("l[]", "l[].vs[]", "vs[]")
+API_LISTS = ("l", "l[].vs", "vs")  # a lone object there is a list of one
+API_PATHS = ("l[]", "l[].vs[]", "vs[]")
 API_LATENESS = Lateness(600, 120, 1800)
 REALTIME_LATENESS = Lateness(1800, 120, 3600)
 INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
@@ -29,18 +32,14 @@ def instant(text: Column) -> Column:
     return F.when(text.rlike(INSTANT), F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp"))
 
 
-def api_rows(spark: SparkSession, d: str, keep: dict[str, Column] | None = None) -> DataFrame:
-    """Rows of all tables in ``api_raw``, each response once, with ``fields`` and ``parent`` or only the columns of ``keep``.
+def api_rows(spark: SparkSession, d: str, once: bool = True, raw: DataFrame | None = None, paths: tuple[str, ...] = ("", *API_PATHS), columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows of the objects of the tables in ``api_raw``; with ``once`` each response once.
 
-    Copies of one ``request_id`` are identical; were they not, the first by arrival and then by content counts. Responses
-    without an id are no copies of each other. The text is parsed once and only the rows made of it are shuffled.
+    Copies of one ``request_id`` are identical; were they not, the first valid one by arrival and then by content counts, as a whole. Responses
+    without an id are no copies of each other.
     """
-    rows = record_rows(table(spark, d, "api_raw"), "request_id", "raw_json", API_LISTS, "request_timestamp")
-    keep = keep or {"fields": F.col("fields"), "parent": F.col("parent")}
-    content = F.xxhash64(F.map_entries("fields"), F.map_entries("parent"))
-    rows = rows.select("record_key", "path", "ordinals", "record_time", *[c.alias(n) for n, c in keep.items()], content.alias("content"), F.when(F.col("record_key").isNull(), F.monotonically_increasing_id()).alias("apart"))
-    once = rows.groupBy("record_key", "path", "ordinals", "apart").agg(F.min_by(F.struct("record_time", *keep), F.struct("record_time", "content")).alias("row"))
-    return once.select("record_key", "path", "ordinals", "row.*")
+    rows = record_rows(table(spark, d, "api_raw") if raw is None else raw, "request_id", "raw_json", API_LISTS, "request_timestamp", once, paths=paths, columns=columns)
+    return rows.where("is_object")
 
 
 def api_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -78,44 +77,52 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return near.select(F.lit("near").alias("pair_type"), "key_a", "key_b").unionByName(within.select(F.lit("inside").alias("pair_type"), "key_a", "key_b"))
 
 
-def api_reports(spark: SparkSession, d: str) -> DataFrame:
-    """Events of the distinct vehicles of a line."""
-    rows = record_rows(table(spark, d, "api_raw"), "request_id", "raw_json", API_LISTS, "request_timestamp").where("path = 'l[].vs[]'")
-    return rows.select(
-        F.col("parent")["cl"].alias("series_key"), micros_of(instant(F.col("fields")["ta"])).alias("event_us"), F.col("record_time").alias("arrival_us"),
-        F.lit(0).cast("bigint").alias("version"), F.col("fields")["p"].alias("member"), F.lit(1.0).alias("figure"),
-    )
-
+def api_reports(spark: SparkSession, d: str, raw: DataFrame) -> DataFrame:
+    """Events of the vehicles of a line."""
+    rows = api_rows(spark, d, False, raw, ("l[].vs[]",), ("cl", "p", "ta"))
+    return rows.select(F.col("parent")["cl"].alias("series_key"), F.unix_micros(instant(F.col("fields")["ta"])).alias("event_us"), F.col("record_time").alias("arrival_us"), F.col("fields")["p"].alias("member"))
 
-def micros_of(col: Column) -> Column:
-    return F.unix_micros(col)
 
-
-def realtime_polls(spark: SparkSession, d: str) -> DataFrame:
+def realtime_polls(spark: SparkSession, d: str, polls: DataFrame) -> DataFrame:
     """Events of the stale percentage of each poll."""
-    polls = table(spark, d, "kpi_realtime")
     return polls.select(
         F.col("data_source").alias("series_key"), micros("timestamp").alias("event_us"), micros("created_at").alias("arrival_us"),
         F.col("id").alias("version"), micros("timestamp").cast("string").alias("member"), F.col("stale_percentage").alias("figure"),
     )
 
 
+LATE = {"api_raw": ("request_timestamp", api_reports, API_LATENESS, True), "kpi_realtime": ("created_at", realtime_polls, REALTIME_LATENESS, False)}
+
+
+def late_periods(spark: SparkSession, d: str, deliveries: int = 2) -> DataFrame:
+    """The periods of both sources, read from stores that were filled in ``deliveries`` of arrival (so this writes)."""
+    out = []
+    for name, (arrival, events, rule, presence) in LATE.items():
+        raw = table(spark, d, name)
+        lo, hi = raw.agg(F.min(micros(arrival)), F.max(micros(arrival))).first()  # one row
+        store = PeriodStore(new_store(spark, name), rule, presence)
+        lo, hi = (0, 0) if lo is None else (lo, hi)
+        edges = [None, *(lo + (hi - lo) * k // deliveries for k in range(1, deliveries)), hi]
+        for n, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            at = F.col(arrival).cast("timestamp")
+            part = raw.where(at <= F.timestamp_micros(F.lit(b))) if a is None else raw.where((at > F.timestamp_micros(F.lit(a))) & (at <= F.timestamp_micros(F.lit(b))))
+            store.ingest(events(spark, d, part), n, b, a)
+        found = store.periods(spark, deliveries - 1)
+        if found is not None:
+            out.append(found.select(F.lit(name).alias("source_name"), "series_key", second_text(F.col("period_us")).alias("period_start"), "n_published", "n_corrected", "mean_published", "mean_corrected", "changed"))
+    kinds = "source_name string, series_key string, period_start string, n_published bigint, n_corrected bigint, mean_published double, mean_corrected double, changed boolean"
+    return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], kinds)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Periods whose figure changed between publication and cut-off."""
-    out = []
-    for name, events, rule in (("api_raw", api_reports(spark, d), API_LATENESS), ("kpi_realtime", realtime_polls(spark, d), REALTIME_LATENESS)):
-        changed = corrected_periods(partials(events, rule), rule).where("changed")
-        out.append(changed.select(F.lit(name).alias("source_name"), "series_key", second_text(F.col("period_us")).alias("period_start")))
-    return out[0].unionByName(out[1])
+    return late_periods(spark, d).where("changed").select("source_name", "series_key", "period_start")
 
 
 def p2_figures(spark: SparkSession, d: str) -> DataFrame:
     """The published and the corrected figures of every period of both sources."""
-    out = []
-    for name, events, rule in (("api_raw", api_reports(spark, d), API_LATENESS), ("kpi_realtime", realtime_polls(spark, d), REALTIME_LATENESS)):
-        f = corrected_periods(partials(events, rule), rule)
-        out.append(f.select(F.lit(name).alias("source_name"), "series_key", second_text(F.col("period_us")).alias("period_start"), "n_published", "n_corrected", F.round("mean_published", 6).alias("mean_published"), F.round("mean_corrected", 6).alias("mean_corrected")))
-    return out[0].unionByName(out[1])
+    f = late_periods(spark, d)
+    return f.select("source_name", "series_key", "period_start", "n_published", "n_corrected", F.round("mean_published", 6).alias("mean_published"), F.round("mean_corrected", 6).alias("mean_corrected"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -157,15 +164,15 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the flat line and vehicle tables, from one pass over the texts."""
     path, own, up = F.col("path"), F.col("fields"), F.col("parent")
     is_line = F.map_contains_key(own, "cl") | F.map_contains_key(own, "sl") | F.map_contains_key(own, "vs")
-    keep = {"wanted": F.when(path == "l[]", is_line).otherwise(path != ""), "line_code": F.when(path == "l[]", own["cl"]).otherwise(up["cl"]), "vehicle_prefix": F.when(path != "l[]", own["p"])}
-    rows = api_rows(spark, d, keep).where("wanted")
+    rows = api_rows(spark, d, paths=API_PATHS, columns=("cl", "sl", "vs", "p")).where((path != "l[]") | is_line)
+    line_code = F.when(path == "l[]", own["cl"]).when(path == "l[].vs[]", up["cl"])
     at, top = F.col("ordinals"), path == "vs[]"
     return rows.select(
         F.col("record_key").alias("request_id"),
         F.when(top, -1).otherwise(at[0]).alias("line_pos"),
         F.when(top, at[0]).when(path == "l[]", -1).otherwise(F.get(at, F.lit(1))).alias("vehicle_pos"),
-        F.coalesce("line_code", F.lit("")).alias("line_code"),
-        F.coalesce("vehicle_prefix", F.lit("")).alias("vehicle_prefix"),
+        F.coalesce(line_code, F.lit("")).alias("line_code"),
+        F.coalesce(F.when(path != "l[]", own["p"]), F.lit("")).alias("vehicle_prefix"),
     )
 
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from fleetspan.operators.late import Lateness, corrected_periods, current, merge_partials, partials
+from fleetspan.operators.late import Lateness, PeriodStore, corrected_periods, current, merge_partials, partials
 
 RULE = Lateness(600, 120, 1800)
 DDL = "series_key string, event_us bigint, arrival_us bigint, version bigint, member string, figure double, batch_us string"
@@ -50,3 +50,31 @@ def test_closed_periods_are_refused_and_open_ones_known(spark):
     assert now["n"] == 1 and now["open"]
     assert not current(store, 41 * M, RULE).select(F.col("open")).first()[0]
     assert partials(events(spark, []), RULE).count() == 0
+
+
+def test_the_store_merges_deliveries_and_reads_only_open_periods(spark, tmp_path):
+    r = random.Random(2)
+    rows = [(r.choice(["a", "b", None]), r.choice([None, r.randrange(0, 60 * M)]), r.randrange(0, 110 * M), r.randrange(3), r.choice("xyz"), r.choice([None, 1.0, 2.0])) for _ in range(500)]
+    store, edges = PeriodStore(str(tmp_path / "s"), RULE), [None, 30 * M, 55 * M, 110 * M]
+    for _ in range(2):  # again under the same numbers: nothing changes
+        for n, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            store.ingest(events(spark, [x for x in rows if (a is None or x[2] > a) and x[2] <= b]), n, b, a)
+    got = store.periods(spark, 2)
+    assert {(x["series_key"], x["period_us"]) for x in got.where("changed").collect()} == brute(rows)
+    whole = corrected_periods(partials(events(spark, rows), RULE), RULE)
+    cols = ("series_key", "period_us", "n_published", "n_corrected", "mean_published", "mean_corrected", "changed")
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, whole.select(*cols).collect()))
+    assert {x["period_us"] for x in store._read(spark, 2, False).collect()} & {0, 10 * M} == set()  # closed before, not written again
+    assert not got.where("open").count()
+
+
+def test_presence_keeps_the_first_arrival(spark, tmp_path):
+    rows = [("a", 0, 5 * M, 0, "x", None), ("a", 0, 13 * M, 0, "x", None), ("a", 0, 13 * M, 0, "y", None), ("b", 0, 5 * M, 0, "x", None), ("b", 0, 41 * M, 0, "y", None), ("c", 0, 39 * M, 0, "y", None)]
+    store = PeriodStore(str(tmp_path / "s"), RULE, presence=True)
+    store.ingest(events(spark, rows[:1]), 0, 10 * M)
+    store.ingest(events(spark, rows[1:]), 1, 41 * M, 10 * M)
+    got = {x["series_key"]: (x["n_published"], x["n_corrected"], x["changed"]) for x in store.periods(spark, 1).collect()}
+    assert got == {"a": (1, 2, True), "b": (1, 1, False), "c": (0, 1, True)}
+    store.ingest(events(spark, [("a", 0, 20 * M, 0, "late", None)]), 2, 50 * M, 41 * M)  # delivered after the period was closed
+    assert {x["series_key"]: x["n_corrected"] for x in store.periods(spark, 2).collect()}["a"] == 2
+    assert PeriodStore(str(tmp_path / "none"), RULE).periods(spark, 0) is None
