@@ -16,12 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.functions.geo import EARTH_M, inside, metres, rings
 
-STRIP_DEG = 0.005
+STRIP_REACHES = 4
 TILE_DEG = 0.02
 TILE_ROWS = 20_000
 PAIR_BLOCK = 2_000_000
@@ -44,16 +46,15 @@ def _lon_reach(lat, deg: float):
     return F.lit(deg) / F.cos(F.radians(worst)) * 1.0001
 
 
-def near_pairs(df: DataFrame, key: str, lat: str, lon: str, within_m: float, strip_deg: float = STRIP_DEG, tile_deg: float = TILE_DEG, tile_rows: int = TILE_ROWS) -> DataFrame:
+def near_pairs(df: DataFrame, key: str, lat: str, lon: str, within_m: float, strip_deg: float | None = None, tile_deg: float = TILE_DEG, tile_rows: int = TILE_ROWS) -> DataFrame:
     """``key_a``, ``key_b`` (``key_a`` < ``key_b``) and ``metres`` of each pair of different keys at most ``within_m`` apart, once.
 
     Rows with a null key or coordinate, NaN or coordinates off the globe have no neighbours. A repeated key is taken once
     for each place it has; a pair found at several places comes out once, with its least distance. Empty input: no rows. Longitudes do not wrap at 180 degrees, and the
-    poles (beyond 89.99 degrees) are not covered.
+    poles (beyond 89.99 degrees) are not covered. A strip is four times as high as the distance unless ``strip_deg`` says otherwise.
     """
     deg, _ = _reach(within_m)
-    if strip_deg <= deg:
-        strip_deg = 2 * deg
+    strip_deg = STRIP_REACHES * deg if strip_deg is None else max(strip_deg, 2 * deg)
     points = _usable(df, key, lat, lon).withColumns({"reach": _lon_reach(F.col("lat"), deg)})
     home = points.withColumns({"strip": F.floor(F.col("lat") / strip_deg), "tile": F.floor(F.col("lon") / tile_deg)})
     # copies: the strip below and all tiles to the left that the reach touches (one, unless the distance is wide)
@@ -70,41 +71,41 @@ def near_pairs(df: DataFrame, key: str, lat: str, lon: str, within_m: float, str
         "k", "lat", "lon", "reach", "strip", "tile", "in_strip", "in_tile", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own"
     ).repartition("in_strip", "in_tile", "lo", "hi")
 
-    def sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [f for f in frames if len(f)]
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        f = pd.concat(parts, ignore_index=True)
-        f = f.sort_values(["in_strip", "in_tile", "lo", "hi", "lon"], kind="stable").reset_index(drop=True)
-        cell = f.groupby(["in_strip", "in_tile", "lo", "hi"], sort=False).ngroup().to_numpy()
-        la, lo = f["lat"].to_numpy(), f["lon"].to_numpy()
-        axis = cell * 1024.0 + (lo + 180)
+        t = pa.Table.from_batches(parts)
+        cols = {c: t.column(c).to_numpy() for c in ("lat", "lon", "reach", "strip", "tile", "in_strip", "in_tile", "lo", "hi", "own")}
+        by = np.lexsort([cols[c] for c in ("lon", "hi", "lo", "in_tile", "in_strip")])
+        la, lo, reach, strip, tile, in_strip, in_tile, blk_lo, blk_hi, own = (cols[c][by] for c in cols)
+        key = t.column("k").combine_chunks().take(pa.array(by))
+        rank = pc.rank(key, tiebreaker="dense").to_numpy()
+        new = np.concatenate([[True], (in_strip[1:] != in_strip[:-1]) | (in_tile[1:] != in_tile[:-1]) | (blk_lo[1:] != blk_lo[:-1]) | (blk_hi[1:] != blk_hi[:-1])])
+        axis = (np.cumsum(new) - 1) * 1024.0 + (lo + 180)
         # right end of the active set of each point; 1e-9 covers the rounding of the shifted axis
-        last = np.searchsorted(axis, axis + f["reach"].to_numpy() + 1e-9, side="right")
-        count = last - np.arange(len(f)) - 1
-        strip, tile, own = f["strip"].to_numpy(), f["tile"].to_numpy(), f["own"].to_numpy()
-        in_strip, in_tile, blk_lo, blk_hi, k = f["in_strip"].to_numpy(), f["in_tile"].to_numpy(), f["lo"].to_numpy(), f["hi"].to_numpy(), f["k"].to_numpy()
+        last = np.searchsorted(axis, axis + reach + 1e-9, side="right")
+        count = last - np.arange(len(la)) - 1
         ends = np.cumsum(count)
         at = 0
-        while at < len(f):
+        while at < len(la):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIR_BLOCK, side="right")))
             n = count[at:to]
             i = np.repeat(np.arange(at, to), n)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
             ok = np.abs(la[i] - la[j]) <= deg
             i, j = i[ok], j[ok]
-            ok = (np.minimum(strip[i], strip[j]) == in_strip[i]) & (np.minimum(tile[i], tile[j]) == in_tile[i])
-            ok &= np.minimum(own[i], own[j]) == blk_lo[i]
-            ok &= np.maximum(own[i], own[j]) == blk_hi[i]
+            ok = (np.minimum(strip[i], strip[j]) == in_strip[i]) & (np.minimum(tile[i], tile[j]) == in_tile[i]) & (rank[i] != rank[j])
+            ok &= (np.minimum(own[i], own[j]) == blk_lo[i]) & (np.maximum(own[i], own[j]) == blk_hi[i])
             i, j = i[ok], j[ok]
             m = metres(la[i], lo[i], la[j], lo[j])
-            ok = (m <= within_m) & (k[i] != k[j])
-            a, b = k[i[ok]], k[j[ok]]
-            swap = a > b
-            yield pd.DataFrame({"key_a": np.where(swap, b, a), "key_b": np.where(swap, a, b), "metres": m[ok]})
+            ok = m <= within_m
+            i, j = i[ok], j[ok]
+            swap = rank[i] > rank[j]
+            yield pa.RecordBatch.from_arrays([key.take(pa.array(np.where(swap, j, i))), key.take(pa.array(np.where(swap, i, j))), pa.array(m[ok])], ["key_a", "key_b", "metres"])
             at = to
 
-    return tasks.mapInPandas(sweep, "key_a string, key_b string, metres double").groupBy("key_a", "key_b").agg(F.min("metres").alias("metres"))
+    return tasks.mapInArrow(sweep, "key_a string, key_b string, metres double").groupBy("key_a", "key_b").agg(F.min("metres").alias("metres"))
 
 
 def containing_regions(points: DataFrame, key: str, lat: str, lon: str, regions: DataFrame, region_key: str, wkt: str, strip_deg: float = 0.02, tile_deg: float = 0.1) -> DataFrame:
@@ -135,27 +136,37 @@ def containing_regions(points: DataFrame, key: str, lat: str, lon: str, regions:
     salts = 16
     salted = p.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(salts)).cast("int")).unionByName(r.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
 
-    def sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [f for f in frames if len(f)]
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        f = pd.concat(parts, ignore_index=True)
-        is_region = f["wkt"].notna()
-        shapes: dict[str, list[np.ndarray]] = {}
-        areas = f[is_region]
-        pts = f[~is_region].sort_values(["s", "t", "salt", "lon"], kind="stable")
-        tiles = {cell: g for cell, g in pts.groupby(["s", "t", "salt"], sort=False)}
-        for cell, g in areas.groupby(["s", "t", "salt"], sort=False):
-            near = tiles.get(cell)
-            if near is None:
-                continue
-            x, y, k = near["lon"].to_numpy(), near["lat"].to_numpy(), near["k"].to_numpy()
-            for zone, text in zip(g["k"], g["wkt"], strict=True):
-                shape = shapes.setdefault(text, rings(text))
-                xs = np.concatenate([ring[:, 0] for ring in shape])
-                a, b = np.searchsorted(x, xs.min(), "left"), np.searchsorted(x, xs.max(), "right")
-                if a < b and (hit := inside(x[a:b], y[a:b], shape)).any():
-                    yield pd.DataFrame({"key_a": k[a:b][hit], "key_b": zone})
-
-    out = salted.repartition("s", "t", "salt").mapInPandas(sweep, "key_a string, key_b string")
+        f = pa.Table.from_batches(parts)
+        is_area = f.column("wkt").is_valid()
+        pts, areas = f.filter(pc.invert(is_area)), f.filter(is_area)
+        if not len(pts) or not len(areas):
+            return
+        of = lambda t: np.stack([t.column(c).to_numpy() for c in ("s", "t", "salt")], axis=1)
+        cells, cell = np.unique(of(pts), axis=0, return_inverse=True)
+        cell = cell.ravel()
+        by = np.lexsort((pts.column("lon").to_numpy(), cell))
+        cell, x, y = cell[by], pts.column("lon").to_numpy()[by], pts.column("lat").to_numpy()[by]
+        key = pts.column("k").combine_chunks().take(pa.array(by))
+        axis = cell * 1024.0 + (x + 180)
+        number = {tuple(c): n for n, c in enumerate(cells.tolist())}
+        tiles: dict[tuple[str, str], list[int]] = {}
+        for zone, text, c in zip(areas.column("k").to_pylist(), areas.column("wkt").to_pylist(), of(areas).tolist(), strict=True):
+            if (n := number.get(tuple(c))) is not None:
+                tiles.setdefault((zone, text), []).append(n)
+        for (zone, text), mine in tiles.items():
+            shape = rings(text)
+            xs, ys = np.concatenate(shape).T
+            base = np.array(mine) * 1024.0 + 180
+            a, b = np.searchsorted(axis, base + xs.min() - 1e-9, "left"), np.searchsorted(axis, base + xs.max() + 1e-9, "right")
+            n = np.maximum(b - a, 0)
+            at = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = at[(y[at] >= ys.min()) & (y[at] <= ys.max())]
+            if len(at) and (hit := at[inside(x[at], y[at], shape)]).size:
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(hit)), pa.array([zone] * len(hit), pa.string())], ["key_a", "key_b"])
+
+    out = salted.repartition("s", "t", "salt").mapInArrow(sweep, "key_a string, key_b string")
     return out.distinct()
