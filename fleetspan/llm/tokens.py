@@ -1,10 +1,10 @@
 """Token ids of a whole corpus by a public byte-level BPE, with content-defined chunk reuse.
 
 Texts are cut where a rolling hash of the last code points says so, so equal passages of different documents are cut
-alike. Each chunk is encoded once in a task and kept; further documents take its tokens from there. A cut may fall inside
-a word, so the joins are repaired: from the last safe place of the left chunk to the first one of the right chunk the text
-is encoded again, and the window is widened until its ends fall on token ends of both neighbours. At a safe place the
-pre-tokenizer's pattern starts a new piece whatever surrounds it, so the result equals that of the whole text.
+alike. Each chunk is encoded once in a task and kept; further documents take its tokens from there. A cut may fall inside a word, so the
+joins are repaired: what lies between a cut and the next safe place is encoded again with the chunk on its left, whose end moves there. At a
+safe place the pre-tokenizer's pattern starts a new piece whatever surrounds it, so both sides agree with the whole text from there on;
+where the next chunk has no safe place the two are encoded as one. The result equals that of the whole text.
 
 Memory is bounded: the store of chunks is emptied when it holds more than ``STORE_CHARS`` characters.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 TOKENIZER_DIR = "/opt/tokenizers"
 TOKENIZER = "byte_bpe_50k"
-WINDOW = 12
-CUT_BITS = 7
+WINDOW = 16  # a power of two
+CUT_BITS = 8
 STORE_CHARS = 24_000_000
 # The pre-tokenizer pattern that belongs to the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -40,10 +40,7 @@ def encoding(path: str):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int32)
-    for token, rank in ranks.items():
-        lengths[rank] = len(token)
-    return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
+    return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=1)
@@ -78,137 +75,62 @@ def safe_places(cp: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 def cut_places(cp: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
     """True at i if a chunk starts at i: the rolling hash of the WINDOW code points before i has its low bits clear."""
-    mixed = (cp.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(7)
-    mixed ^= mixed >> np.uint32(11)
-    h = np.zeros(len(cp), dtype=np.uint32)
-    for k in range(min(WINDOW, len(cp))):
-        h[k:] += mixed[: len(cp) - k] * np.uint32(pow(31, k, 1 << 32))
-    h ^= h >> np.uint32(15)
     cut = np.zeros(len(cp), dtype=bool)
-    cut[WINDOW:] = (h[WINDOW - 1 : -1] & np.uint32((1 << bits) - 1)) == 0 if len(cp) > WINDOW else False
+    if len(cp) <= WINDOW:
+        return cut
+    h = (cp.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(7)
+    h ^= h >> np.uint32(11)
+    wide = 1
+    while wide < WINDOW:  # the hash of a window from those of its halves
+        h = h[:-wide] + h[wide:] * np.uint32(pow(31, wide, 1 << 32))
+        wide *= 2
+    h ^= h >> np.uint32(15)
+    cut[WINDOW:] = (h[:-1] & np.uint32((1 << bits) - 1)) == 0
     return cut
 
 
-class Chunk:
-    """Tokens of one chunk, with the byte places of its token ends and its safe places (in characters and bytes)."""
-
-    __slots__ = ("ends", "ids", "safe", "safe_bytes", "text")
-
-    def __init__(self, text: str, ids: list[int], lengths: np.ndarray, safe: np.ndarray, widths: np.ndarray):
-        self.text, self.ids = text, np.array(ids, dtype=np.int32)
-        self.ends = np.cumsum(lengths[self.ids])
-        at = np.cumsum(widths)
-        self.safe = safe
-        self.safe_bytes = at[safe - 1] if len(safe) else safe
-
-    def token_at(self, byte: int) -> int:
-        """Number of tokens before a byte place, -1 if a token spans it."""
-        k = int(np.searchsorted(self.ends, byte))
-        return k + 1 if k < len(self.ends) and self.ends[k] == byte else -1
-
-
 class ChunkEncoder:
     """Encodes texts through a store of chunks."""
 
     def __init__(self, path: str, bits: int = CUT_BITS):
-        self.enc, self.lengths = encoding(path)
+        self.enc = encoding(path)
         self.cls = char_classes()
         self.bits = bits
-        self.store: dict[str, Chunk] = {}
-        self.joins: dict[str, np.ndarray] = {}
+        self.store: dict[str, np.ndarray] = {}
         self.held = 0
         self.used = self.encoded = 0
 
-    def chunk(self, text: str, lo: int, hi: int, safe_at: np.ndarray, width: np.ndarray) -> Chunk:
+    def chunk(self, text: str) -> np.ndarray:
         self.used += 1
         found = self.store.get(text)
         if found is None:
-            a, b = np.searchsorted(safe_at, (lo + 1, hi - 1))
-            found = Chunk(text, self.enc.encode_ordinary(text), self.lengths, safe_at[a:b] - lo, width[lo:hi])
+            found = self.enc.encode_to_numpy(text, disallowed_special=())
             self.encoded += 1
             if self.held > STORE_CHARS:
                 self.store.clear()
-                self.joins.clear()
                 self.held = 0
             self.store[text] = found
             self.held += len(text)
         return found
 
-    def join(self, text: str) -> np.ndarray:
-        ids = self.joins.get(text)
-        if ids is None:
-            ids = np.array(self.enc.encode_ordinary(text), dtype=np.int32)
-            if len(text) < 200:
-                self.joins[text] = ids
-                self.held += len(text)
-        return ids
-
-    def repaired(self, parts: list[Chunk]) -> list[np.ndarray]:
-        """Tokens of the chunks in a row, joins repaired."""
-        out: list[np.ndarray] = []
-        left = parts[0]
-        pending, from_char, from_token = "", 0, 0  # text before the left chunk that waits for a join; where the left chunk still counts
-        for right in parts[1:]:
-            # window: from the last safe place of the left chunk (beyond what is pending) to the first one of the right chunk
-            k, end_token = len(left.safe) - 1, -1
-            while k >= 0 and left.safe[k] > from_char:
-                end_token = left.token_at(int(left.safe_bytes[k]))
-                if end_token >= 0:
-                    break
-                k -= 1
-            if k >= 0 and left.safe[k] > from_char and end_token >= 0:
-                if pending:
-                    out.append(self.join(pending))
-                out.append(left.ids[from_token:end_token])
-                pending = left.text[left.safe[k] :]
-            else:
-                pending += left.text[from_char:]
-            j, start_token = 0, -1
-            while j < len(right.safe):
-                start_token = right.token_at(int(right.safe_bytes[j]))
-                if start_token >= 0:
-                    break
-                j += 1
-            if start_token >= 0:
-                from_char, from_token = int(right.safe[j]), start_token
-                out.append(self.join(pending + right.text[:from_char]))
-                pending = ""
-            else:  # no safe place: the whole chunk waits for the next join
-                from_char, from_token = 0, 0
-                pending += right.text
-                from_char = len(right.text)
-                from_token = len(right.ids)
-            left = right
-        if pending:
-            out.append(self.join(pending + left.text[from_char:]))
-        else:
-            out.append(left.ids[from_token:])
-        return out
-
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the number of ids of each text."""
         whole = "".join(texts)
         cp = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        cls = self.cls[np.minimum(cp, 0x10FFFF)]
-        size = np.array([len(t) for t in texts], dtype=np.int64)
-        start = np.concatenate([[0], np.cumsum(size)])
-        safe_at = np.flatnonzero(safe_places(cp, cls))
-        cut = cut_places(cp, self.bits)
-        width = 1 + (cp >= 0x80).astype(np.int32) + (cp >= 0x800) + (cp >= 0x10000)
-        cut_at = np.flatnonzero(cut)
-        flat: list[np.ndarray] = []
-        count = np.zeros(len(texts), dtype=np.int64)
-        for t in range(len(texts)):
-            lo, hi = int(start[t]), int(start[t + 1])
-            if lo == hi:
-                continue
-            a, b = np.searchsorted(cut_at, (lo + WINDOW, hi))
-            edges = [lo, *cut_at[a:b].tolist(), hi]
-            parts = [self.chunk(whole[i:j], i, j, safe_at, width) for i, j in zip(edges[:-1], edges[1:], strict=True)]
-            got = self.repaired(parts)
-            flat.extend(got)
-            count[t] = sum(map(len, got))
-        return (np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)), count
+        start = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        cut = np.flatnonzero(cut_places(cp, self.bits))
+        text = np.searchsorted(start, cut, side="right") - 1
+        cut, text = cut[cut - start[text] >= WINDOW], text[cut - start[text] >= WINDOW]  # a window lies in one text
+        safe = np.flatnonzero(safe_places(cp, self.cls[np.minimum(cp, 0x10FFFF)]))
+        at = np.searchsorted(safe, cut)
+        cut, text, at = cut[at < len(safe)], text[at < len(safe)], at[at < len(safe)]
+        repaired = safe[at]
+        repaired = np.unique(repaired[repaired < start[text + 1]])
+        edges = np.unique(np.concatenate([start, repaired])).tolist()
+        flat = [self.chunk(whole[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        size = np.concatenate([[0], np.cumsum([len(x) for x in flat], dtype=np.int64)])
+        count = np.diff(size[np.searchsorted(edges, start)])
+        return (np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, dtype=np.int32)), count
 
 
 def token_path(folder: str = TOKENIZER_DIR, name: str = TOKENIZER) -> str:

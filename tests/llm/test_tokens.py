@@ -10,7 +10,7 @@ AL = "ab '  \n\t\r1²٣éÉ日本ไทย้ं​﻿\xa0 .,!?'sdtremvl\U0001f6
 
 @pytest.fixture(scope="module")
 def whole():
-    return encoding(token_path())[0].encode_ordinary
+    return encoding(token_path()).encode_ordinary
 
 
 def split(ids, count):
