@@ -111,25 +111,27 @@ def packed(sizes: DataFrame, key: str = "doc_id", size: str = "tokens", source:
         F.col(key).alias("item_key"), F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE)).alias("item_source"), F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(0)), F.lit(0)).alias("item_size"),
         F.monotonically_increasing_id().alias("row_no"),
     )
-    count = rows.count()
-    shelves = max(1, -(-count // shelf_items))
+    shelves = max(1, -(-rows.count() // shelf_items))
     laid = rows.withColumn("shelf", F.pmod(F.xxhash64("row_no"), F.lit(shelves)).cast("int"))
     sums = laid.groupBy("shelf", "item_source").agg(F.sum("item_size").cast("double").alias("own"))
-    shares = {r[0]: float(r[1]) for r in sums.groupBy("item_source").agg(F.sum("own")).collect()}  # a row for each source
-    total = sum(shares.values()) or 1.0
-    share = {s: (target.get(s, 1e-6) if target else x / total) for s, x in shares.items()}
-    grid = sums.select("shelf").distinct().withColumn("item_source", F.explode(F.array(*[F.lit(s) for s in sorted(share)]))) if share else sums.select("shelf", "item_source")
-    before = Window.partitionBy("item_source").orderBy("shelf").rowsBetween(Window.unboundedPreceding, -1)
-    whole = sums.groupBy("shelf").agg(F.sum("own").alias("all_own"))
-    part = F.create_map(*[F.lit(x) for s in sorted(share) for x in (s, share[s])]) if share else F.create_map(F.lit(""), F.lit(0.0))
-    owed = grid.join(sums, ["shelf", "item_source"], "left").join(whole, "shelf").select("shelf", "item_source", (part[F.col("item_source")] * F.col("all_own") - F.coalesce("own", F.lit(0.0))).alias("lack"))
-    owed = owed.select(F.col("shelf").alias("owed_shelf"), F.col("item_source").alias("owed_source"), F.coalesce(F.sum("lack").over(before), F.lit(0.0)).alias("credit"))
+    per_source = sums.groupBy("item_source").agg(F.sum("own").alias("share"))
+    if target:
+        wanted = F.create_map(*[F.lit(x) for pair in target.items() for x in pair])
+        per_source = per_source.withColumn("share", F.coalesce(wanted[F.col("item_source")], F.lit(1e-6)))
+    per_source = per_source.join(per_source.agg(F.sum("share").alias("total"))).select("item_source", F.coalesce(F.try_divide("share", "total"), F.lit(0.0)).alias("share"))
+    # what a source lacks before a shelf: its share of all tokens of the shelves before, less its own
+    by = Window.orderBy("shelf").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shelf
+    whole = sums.groupBy("shelf").agg(F.sum("own").alias("all_own")).select("shelf", F.coalesce(F.sum("all_own").over(by), F.lit(0.0)).alias("passed"))
+    mine = Window.partitionBy("item_source").orderBy("shelf").rowsBetween(Window.unboundedPreceding, -1)
+    owed = sums.withColumn("had", F.coalesce(F.sum("own").over(mine), F.lit(0.0))).join(whole, "shelf").join(per_source, "item_source")
+    owed = owed.select(F.col("shelf").alias("owed_shelf"), F.col("item_source").alias("owed_source"), "share", (F.col("share") * F.col("passed") - F.col("had")).alias("credit"))
     key_type = dict(rows.dtypes)["item_key"]
     schema = f"`{key}` {key_type}, `{source}` string, piece int, first_token bigint, tokens bigint, container_id bigint, window_id bigint"
 
     def pack(items: pd.DataFrame, owing: pd.DataFrame) -> pd.DataFrame:
         items = items.sort_values("row_no", kind="stable")
-        credit = {s: 0.0 for s in share} | dict(zip(owing["owed_source"], owing["credit"], strict=True))
+        credit = dict(zip(owing["owed_source"], owing["credit"], strict=True))
+        share = dict(zip(owing["owed_source"], owing["share"], strict=True))
         got = pack_shelf(list(zip(items["item_source"], items["item_size"].astype(int).tolist(), strict=True)), share, credit, capacity)
         out = pd.DataFrame(got, columns=["n", "piece", "first_token", "tokens", "container_id", "window_id"])
         base = (int(items["shelf"].iloc[0]) if len(items) else 0) << 32
@@ -140,3 +142,14 @@ def packed(sizes: DataFrame, key: str = "doc_id", size: str = "tokens", source:
         })
 
     return laid.groupBy("shelf").cogroup(owed.groupBy("owed_shelf")).applyInPandas(pack, schema)
+
+
+def mixture(containers: DataFrame, source: str = "source") -> DataFrame:
+    """What came out: ``window_id``, source, its tokens and its share of the window's tokens (null for a window without tokens).
+
+    A source runs out when its texts are used up before those of the others; the last windows then have the shares of the rest. With the
+    corpus's own shares as the target that is a matter of the last window of each shelf; with other targets this is where it shows.
+    """
+    each = containers.groupBy("window_id", source).agg(F.sum("tokens").alias("tokens"))
+    all_of = each.groupBy("window_id").agg(F.sum("tokens").alias("window_tokens"))
+    return each.join(all_of, "window_id").select("window_id", source, "tokens", F.try_divide("tokens", "window_tokens").alias("share"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetspan.llm.packing import packed
+from fleetspan.llm.packing import mixture, packed
 from fleetspan.llm.sentences import sentence_units
 from fleetspan.llm.tokens import token_counts, token_ids
 from fleetspan.session import table
@@ -23,13 +24,19 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return packed(materialised(token_counts(table(spark, d, "documents"), also=("source",))))
 
 
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of the sources in each window of containers."""
+    m = mixture(p9_containers(spark, d))
+    return m.select("window_id", "source", "tokens", F.round("share", 6).alias("share"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence units of every document."""
     return sentence_units(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p9_containers, p10_found)}
+    return {f.__name__: f for f in (p8_ids, p9_containers, p9_mixture, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from fleetspan.llm.packing import pack_shelf, packed
+from fleetspan.llm.packing import mixture, pack_shelf, packed
 from fleetspan.sources.lineage import materialised
 
 
@@ -76,3 +76,25 @@ def test_a_target_mixture(spark):
     out = packed(df, target={"a": 0.7, "b": 0.3}).toPandas()
     w = out[out.window_id == out.window_id.min()]
     assert abs(w[w.source == "a"].tokens.sum() / w.tokens.sum() - 0.7) < 0.02 and out.tokens.sum() == 300_000
+
+
+def test_credits_equal_those_of_all_shelves_before(spark):
+    r = random.Random(4)
+    rows = [(i, r.choice("aaab") if i % 3 else "c", r.randrange(1, 900)) for i in range(3000)]
+    df = materialised(spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint"))
+    out = packed(df, shelf_items=300)
+    total = sum(t for *_, t in rows)
+    want = {s: sum(t for _, x, t in rows if x == s) / total for s in "abc"}
+    m = mixture(out).toPandas()
+    whole = m.groupby("source").tokens.sum() / m.tokens.sum()
+    assert all(abs(whole[s] - want[s]) < 1e-9 for s in want)
+    big = m[m.groupby("window_id").tokens.transform("sum") > 64 * 2048 * 0.8]
+    assert (big.share - big.source.map(want)).abs().max() < 0.1
+    assert (m.groupby("window_id").share.sum() - 1).abs().max() < 1e-9
+
+
+def test_a_source_that_runs_out_shows_in_the_mixture(spark):
+    df = materialised(spark.createDataFrame([(i, "a" if i % 10 else "b", 100) for i in range(9000)], "doc_id bigint, source string, tokens bigint"))
+    m = mixture(packed(df, target={"a": 0.5, "b": 0.5})).toPandas().sort_values("window_id")
+    first, last = m[m.window_id == m.window_id.min()], m[m.window_id == m.window_id.max()]
+    assert abs(first[first.source == "b"].share.sum() - 0.5) < 0.05 and set(last.source) == {"a"}
