@@ -6,21 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ranked_first(df: DataFrame, keys: list[Column | str], order: list[Column]) -> DataFrame:
-    """The first row of each key; ``order`` should be total. Null keys are keys like any other."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+def first_of(df: DataFrame, keys: list[Column | str], order: list[Column | str], last: bool = False) -> DataFrame:
+    """The first (or last) row of each key by ``order``, which should be total; nulls are smallest. Null keys are keys like any other.
+
+    The aggregate is combined on the map side, so a key that holds a third of all rows, the null key too, reaches its task as a row for each task.
+    """
+    named = {f"__k{i}": F.col(k) if isinstance(k, str) else k for i, k in enumerate(keys)}
+    pick = F.max_by if last else F.min_by
+    out = df.groupBy(*[c.alias(n) for n, c in named.items()]).agg(pick(F.struct(*df.columns), F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])).alias("__row"))
+    return out.select("__row.*")
 
 
 def per_bucket(df: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFrame:
     """The latest row of each key and time bucket."""
     bucket = F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / seconds)
-    return ranked_first(df, [key, bucket], [F.col(ts).desc(), F.col(tie).desc()])
+    return first_of(df, [key, bucket], [ts, tie], last=True)
 
 
 def best_quality(df: DataFrame, keys: list[str], score: str, tie: str) -> DataFrame:
-    """The row with the highest score; unknown scores come last."""
-    return ranked_first(df, keys, [F.col(score).desc_nulls_last(), F.col(tie).asc()])
+    """The row with the highest score; unknown scores come last, and the smaller ``tie`` wins."""
+    return first_of(df, keys, [F.col(score).isNull(), -F.col(score), F.col(tie)])
 
 
 def flag_later(df: DataFrame, keys: list[str], order: list[Column], name: str = "is_duplicate") -> DataFrame:
@@ -36,9 +41,9 @@ def flag_all(df: DataFrame, keys: list[str], name: str = "is_duplicate") -> Data
 def deduplicated(df: DataFrame, strategy: str, vehicle: str = "vehicle_id", ts: str = "timestamp", tie: str = "row_id", seconds: int = 60) -> DataFrame:
     """``first`` of each vehicle and time, ``last`` of each vehicle, or the latest of each ``time_window``."""
     if strategy == "first":
-        return ranked_first(df, [vehicle, ts], [F.col(tie).asc()])
+        return first_of(df, [vehicle, ts], [tie])
     if strategy == "last":
-        return ranked_first(df, [vehicle], [F.col(ts).desc_nulls_last(), F.col(tie).desc()])
+        return first_of(df, [vehicle], [ts, tie], last=True)
     if strategy == "time_window":
         return per_bucket(df, vehicle, ts, seconds, tie)
     raise ValueError(f"unknown strategy: {strategy}")

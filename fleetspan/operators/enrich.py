@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from math import cos, radians
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.functions.columns import calendar
@@ -26,24 +24,34 @@ def match_rate(df: DataFrame, name: str = "route_long_name") -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.count(name).alias("matched"), F.try_divide(F.count(name), F.count("*")).alias("match_rate"))
 
 
-def nearest_stop(df: DataFrame, stops: DataFrame, row_key: str, within_m: float = 50.0, how: str = "inner", box_lat: float = 24.0) -> DataFrame:
-    """The closest stop (``stop_id``, ``stop_lat``, ``stop_lon``) within the radius of each row, with ``stop_distance_m``.
+def nearest_stop(df: DataFrame, stops: DataFrame, row_key: str, within_m: float = 50.0, how: str = "inner") -> DataFrame:
+    """The closest stop (``stop_id``) within the radius of each row, with ``stop_distance_m``.
 
-    Stops are laid into grid cells as wide as the radius (longitude cells widened for latitudes up to ``box_lat``) and
-    copied to the eight cells around; a row meets the stops of its own cell only. A tie goes to the smaller id. ``how="left"`` keeps rows without a stop. ``row_key`` is unique.
+    The plane is laid out in latitude bands as high as the radius, each cut into cells that are as wide as the radius at the band's
+    highest latitude. Stops are copied to the cells around, in their own band and the two beside it; a row meets the stops of its own cell
+    only. A tie goes to the smaller id. ``how="left"`` keeps rows without a stop. ``row_key`` is unique. Beyond 89 degrees and across
+    180 degrees nothing is found.
     """
     if within_m <= 0:
         raise ValueError("the radius has to be positive")
-    deg_lat = within_m / 111_000.0
-    deg_lon = deg_lat / cos(radians(min(abs(box_lat) + 1, 89)))
-    row, col = F.floor(F.col("latitude") / deg_lat), F.floor(F.col("longitude") / deg_lon)
+    deg = within_m / 111_000.0
+
+    def cell(band: Column, lon: Column) -> Column:
+        highest = F.greatest(F.abs(band * deg), F.abs((band + 1) * deg))
+        return F.floor(lon * F.cos(F.radians(F.least(highest, F.lit(89.0)))) / deg)
+
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
     s = stops.select("stop_id", "stop_lat", "stop_lon").where("stop_id is not null and stop_lat is not null and stop_lon is not null")
-    s = s.withColumn("__dr", F.explode(around)).withColumn("__dc", F.explode(around))
-    s = s.select("stop_id", "stop_lat", "stop_lon", (F.floor(F.col("stop_lat") / deg_lat) + F.col("__dr")).alias("__r"), (F.floor(F.col("stop_lon") / deg_lon) + F.col("__dc")).alias("__c"))
-    near = df.select(row_key, "latitude", "longitude", row.alias("__r"), col.alias("__c")).join(s, ["__r", "__c"])
-    near = near.withColumn("d", haversine_m(F.col("latitude"), F.col("longitude"), F.col("stop_lat"), F.col("stop_lon"))).where(F.col("d") <= within_m)
-    best = near.groupBy(row_key).agg(F.min(F.struct("d", "stop_id")).alias("best")).select(row_key, F.col("best.stop_id").alias("stop_id"), F.col("best.d").alias("stop_distance_m"))
+    s = s.withColumn("__band", F.explode(F.transform(around, lambda k: F.floor(F.col("stop_lat") / deg) + k)))
+    s = s.withColumn("__cell", F.explode(F.transform(around, lambda k: cell(F.col("__band"), F.col("stop_lon")) + k)))
+    band = F.floor(F.col("latitude") / deg)
+    near = df.withColumns({"__band": band, "__cell": cell(band, F.col("longitude"))}).join(s, ["__band", "__cell"])
+    near = near.withColumn("stop_distance_m", haversine_m(F.col("latitude"), F.col("longitude"), F.col("stop_lat"), F.col("stop_lon"))).where(F.col("stop_distance_m") <= within_m)
+    found = F.struct("stop_id", "stop_distance_m")
+    if how == "inner":  # the row rides along; nothing is joined back
+        best = near.groupBy(row_key).agg(F.min_by(F.struct(*df.columns, found.alias("__stop")), F.struct("stop_distance_m", "stop_id")).alias("__row"))
+        return best.select("__row.*").select(*df.columns, "__stop.*")
+    best = near.groupBy(row_key).agg(F.min_by(found, F.struct("stop_distance_m", "stop_id")).alias("__stop")).select(row_key, "__stop.*")
     return df.join(best, row_key, how)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspan.functions.columns import congestion_index, headway_quality, is_moving
+from fleetspan.operators.telemetry import with_previous
 
 
 def hour_of(ts: str) -> Column:
@@ -26,11 +27,11 @@ def speed_stats(df: DataFrame, by: list[Column | str], speed: str = "speed") ->
     )
 
 
-def headways(df: DataFrame, stop: str = "stop_id", line: str = "line_id", ts: str = "ts", tie: str = "row_id") -> DataFrame:
-    """Minutes since the vehicle before, at each stop and line; the first passage has none and goes."""
-    by = Window.partitionBy(stop, line).orderBy(ts, tie)
-    gap = F.unix_timestamp(ts) - F.lag(F.unix_timestamp(ts)).over(by)
-    return df.withColumn("headway_minutes", gap / 60.0).where("headway_minutes is not null")
+def headways(df: DataFrame, stop: str = "stop_id", line: str | None = "line_id", ts: str = "ts", tie: str = "row_id") -> DataFrame:
+    """Minutes since the vehicle before, at each stop and line (or stop alone); the first passage has none and goes. Busy stops are spread over their days."""
+    keys = [stop] + ([line] if line else [])
+    out = with_previous(df, keys, ts, tie, {"__was": F.unix_timestamp(ts)})
+    return out.withColumn("headway_minutes", (F.unix_timestamp(ts) - F.col("__was")) / 60.0).drop("__was").where("headway_minutes is not null")
 
 
 def headway_summary(df: DataFrame, stop: str = "stop_id", line: str = "line_id", **kw) -> DataFrame:
@@ -94,32 +95,53 @@ def gold_hourly(df: DataFrame, ts: str = "ts") -> DataFrame:
     return out.withColumn("avg_distance_per_vehicle_km", F.try_divide("total_distance_km", "vehicles_active"))
 
 
-def peak_hours(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Per date the hour with most distinct vehicles (the earliest of several), its vehicles and the average of the other hours."""
-    each = df.groupBy(F.to_date(ts).alias("date"), F.hour(ts).alias("hour")).agg(F.count_distinct("vehicle_id").alias("n"))
-    top = each.groupBy("date").agg(F.max(F.struct("n", (-F.col("hour")).alias("early"))).alias("top"), F.sum("n").alias("all_n"), F.count("*").alias("hours"))
-    peak = F.col("top.n")
-    return top.select("date", (-F.col("top.early")).alias("peak_hour"), peak.alias("peak_hour_vehicles"), F.when(F.col("hours") > 1, (F.col("all_n") - peak) / (F.col("hours") - 1)).alias("off_peak_avg_vehicles"))
-
-
 def gold_daily(df: DataFrame, ts: str = "ts", uptime: float = 0.98) -> DataFrame:
-    """Per date: vehicles, lines, rows as trips, speed, distance, quality, peak hour, a constant uptime."""
-    day = df.groupBy(F.to_date(ts).alias("date")).agg(
-        F.count_distinct("vehicle_id").alias("total_vehicles"), F.count_distinct("line_id").alias("total_lines"), F.count("*").alias("total_trips"),
-        F.avg("speed_kmh").alias("avg_speed_kmh"), F.sum("distance_km").alias("total_distance_km"), F.avg("data_quality_score").alias("data_quality_score"),
+    """Per date: vehicles, lines, rows as trips, speed, distance, quality, peak hour, a constant uptime.
+
+    One pass: rows are summed per date, hour, vehicle and line first; that small frame is read as three sets (vehicles of an hour, vehicles
+    and lines of the day), counted together. The peak is the hour with most distinct vehicles (the earliest of several); the others' average is ``off_peak_avg_vehicles``.
+    """
+    sums = {"n": F.count("*"), "s": F.sum("speed_kmh"), "c": F.count("speed_kmh"), "km": F.sum("distance_km"), "q": F.sum("data_quality_score"), "qn": F.count("data_quality_score")}
+    part = df.groupBy(F.to_date(ts).alias("date"), F.hour(ts).alias("hour"), "vehicle_id", "line_id").agg(*[c.alias(n) for n, c in sums.items()])
+    kinds = {"n": "bigint", "s": "double", "c": "bigint", "km": "double", "q": "double", "qn": "bigint"}
+
+    def one_set(kind: str, hour: Column, key: str, with_sums: bool) -> Column:
+        own = [(F.col(n) if with_sums else F.lit(0)).cast(k).alias(n) for n, k in kinds.items()]
+        return F.struct(F.lit(kind).alias("kind"), hour.alias("h"), F.col(key).cast("string").alias("key"), *own)
+
+    sets = F.array(one_set("hour", F.col("hour"), "vehicle_id", False), one_set("line", F.lit(-1), "line_id", False), one_set("day", F.lit(-1), "vehicle_id", True))
+    keyed = part.select("date", F.inline(sets)).groupBy("date", "kind", "h", "key").agg(*[F.sum(n).alias(n) for n in sums])
+    counted = keyed.groupBy("date", "kind", "h").agg(F.count("key").alias("k"), *[F.sum(n).alias(n) for n in sums])
+    of = lambda kind, c: F.when(F.col("kind") == kind, c)
+    day = counted.groupBy("date").agg(
+        F.max(of("day", F.col("k"))).alias("total_vehicles"), F.max(of("line", F.col("k"))).alias("total_lines"), F.sum("n").alias("total_trips"), F.try_divide(F.sum("s"), F.sum("c")).alias("avg_speed_kmh"),
+        F.sum(of("day", F.col("km"))).alias("total_distance_km"), F.try_divide(F.sum("q"), F.sum("qn")).alias("data_quality_score"),
+        F.max(of("hour", F.struct("k", (-F.col("h")).alias("early")))).alias("top"), F.sum(of("hour", F.col("k"))).alias("all_k"), F.count(of("hour", F.lit(1))).alias("hours"),
+    )
+    peak = F.col("top.k")
+    return day.select(
+        "date", "total_vehicles", "total_lines", "total_trips", "avg_speed_kmh", "total_distance_km", "data_quality_score", (-F.col("top.early")).alias("peak_hour"), peak.alias("peak_hour_vehicles"),
+        F.when(F.col("hours") > 1, (F.col("all_k") - peak) / (F.col("hours") - 1)).alias("off_peak_avg_vehicles"), F.lit(uptime).alias("uptime_percentage"),
     )
-    return day.join(peak_hours(df, ts), "date", "left").withColumn("uptime_percentage", F.lit(uptime))
+
+
+def peak_hours(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Per date the peak hour, its vehicles and the average of the other hours (see ``gold_daily``)."""
+    unknown = {c: F.lit(None).cast("double") for c in ("speed_kmh", "distance_km", "data_quality_score") if c not in df.columns}
+    return gold_daily(df.withColumns(unknown) if unknown else df, ts).select("date", "peak_hour", "peak_hour_vehicles", "off_peak_avg_vehicles")
 
 
 def gold_lines(df: DataFrame, ts: str = "ts", period: str = "daily") -> DataFrame:
-    """Per line: speed, average vehicles per hour, quality, period of all rows, congestion and reliability."""
-    each = df.groupBy("line_id", "line_name", hour_of(ts).alias("hour")).agg(F.count_distinct("vehicle_id").alias("vehicles"), F.sum("speed_kmh").alias("s"), F.count("speed_kmh").alias("c"), F.sum("data_quality_score").alias("q"), F.count("data_quality_score").alias("qn"))
-    lines = each.groupBy("line_id", "line_name").agg(F.try_divide(F.sum("s"), F.sum("c")).alias("avg_speed_kmh"), F.avg("vehicles").alias("avg_vehicles_operating"), F.try_divide(F.sum("q"), F.sum("qn")).alias("data_quality_score"))
-    span = df.agg(F.min(ts).alias("period_start"), F.max(ts).alias("period_end"))  # one row
-    return lines.join(F.broadcast(span)).withColumns({
+    """Per line: speed, average vehicles per hour, quality, period of all rows, congestion and reliability. One pass; the period is taken over a row for each line."""
+    each = df.groupBy("line_id", "line_name", hour_of(ts).alias("hour"), "vehicle_id").agg(F.sum("speed_kmh").alias("s"), F.count("speed_kmh").alias("c"), F.sum("data_quality_score").alias("q"), F.count("data_quality_score").alias("qn"), F.min(ts).alias("a"), F.max(ts).alias("b"))
+    hours = each.groupBy("line_id", "line_name", "hour").agg(F.count("vehicle_id").alias("vehicles"), *[F.sum(c).alias(c) for c in ("s", "c", "q", "qn")], F.min("a").alias("a"), F.max("b").alias("b"))
+    lines = hours.groupBy("line_id", "line_name").agg(F.try_divide(F.sum("s"), F.sum("c")).alias("avg_speed_kmh"), F.avg("vehicles").alias("avg_vehicles_operating"), F.try_divide(F.sum("q"), F.sum("qn")).alias("data_quality_score"), F.min("a").alias("a"), F.max("b").alias("b"))
+    all_lines = Window.partitionBy()
+    return lines.withColumns({
+        "period_start": F.min("a").over(all_lines), "period_end": F.max("b").over(all_lines),
         "analysis_period": F.lit(period), "congestion_index": congestion_index(F.col("avg_speed_kmh")), "reliability_score": F.col("data_quality_score") * 100,
         "avg_headway_minutes": F.lit(None).cast("double"), "utilization_rate": F.lit(None).cast("double"),
-    })
+    }).drop("a", "b")
 
 
 def realtime_row(df: DataFrame, now: Column, known_lines: int = 400, stale_minutes: int = 4, ts: str = "ts") -> DataFrame:
@@ -171,3 +193,11 @@ def windowed(df: DataFrame, key: str, ts: str = "timestamp", length: str = "5 mi
     first = df.groupBy(w.alias("w"), key, "vehicle_id").agg(F.count("*").alias("n"), F.sum(s).alias("s"), F.count(s).alias("c"), F.max(s).alias("m"), F.sum(is_moving(s, moving_above).cast("int")).alias("mv"))
     second = first.groupBy("w", key).agg(F.count("vehicle_id").alias("vehicle_count"), F.sum("n").alias("position_count"), F.sum("s").alias("s"), F.sum("c").alias("c"), F.max("m").alias("max_speed"), F.sum("mv").alias("moving_count"))
     return second.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "vehicle_count", "position_count", F.try_divide("s", "c").alias("avg_speed"), "max_speed", "moving_count")
+
+
+def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Exact percentiles (interpolated) of each group. Equal values are counted first, in parallel; a group's task gets a row
+    for each distinct value, not for each row, so values should be rounded to what is meant (seconds, tenths).
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
+    return counts.groupBy(*by).agg(*[F.percentile(value, p, "__n").alias(n) for n, p in shares.items()])

@@ -2,26 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspan.functions.geo import haversine_km, heading_deg
 
 
-def steps(df: DataFrame, vehicle: str = "vehicle_id", ts: str = "ts", tie: str = "row_id", limit: float | None = 120.0) -> DataFrame:
-    """Adds ``distance_km``, ``elapsed_s`` (whole seconds), ``speed_kmh``, ``heading`` and ``acceleration`` against the row before.
+def with_previous(df: DataFrame, keys: list[str], ts: str, tie: str, values: dict[str, Column]) -> DataFrame:
+    """Adds ``values`` of the row before (by ``ts``, ``tie``) within the keys; null for the first row.
+
+    Rows are clustered by keys and day, so a key that holds a third of all rows is spread over its days. For the first row of a day the
+    first and last rows of the key's days, two a day, are ordered among themselves. Both branches read the same exchange, or none where
+    ``df`` is clustered by the keys and a column ``__day`` already. A null time is a day of its own, before all others.
+    """
+    given = "__day" in df.columns
+    laid = (df if given else df.withColumn("__day", F.to_date(ts))).withColumn("__at", F.struct(*[c.alias(n) for n, c in values.items()]))
+    by = Window.partitionBy(*keys, "__day").orderBy(ts, tie)
+    rows = laid.withColumns({"__prev": F.lag("__at").over(by), "__first": F.row_number().over(by) == 1, "__last": F.lead(F.lit(1)).over(by).isNull()})
+    inner = rows.where(~F.col("__first"))
+    edges = rows.where(F.col("__first") | F.col("__last")).withColumn("__prev", F.lag("__at").over(Window.partitionBy(*keys).orderBy("__day", ts, tie))).where("__first")
+    both = inner.unionByName(edges).withColumns({n: F.col("__prev")[n] for n in values}).drop("__at", "__prev", "__first", "__last")
+    return both if given else both.drop("__day")
+
+
+def steps(df: DataFrame, vehicle: str = "vehicle_id", ts: str = "ts", tie: str = "row_id", limit: float | None = 120.0, acceleration: bool = True) -> DataFrame:
+    """Adds ``distance_km``, ``elapsed_s`` (whole seconds), ``speed_kmh``, ``heading`` and, if asked for, ``acceleration`` against the row before.
 
     A speed needs a positive time and, with a limit, a value from 0 to it; otherwise it is null. The first row of a vehicle has
     nulls. Ties in time follow ``tie``.
     """
-    by = Window.partitionBy(vehicle).orderBy(ts, tie)
     lat, lon = F.col("latitude"), F.col("longitude")
-    before = df.withColumns({"__lat": F.lag(lat).over(by), "__lon": F.lag(lon).over(by), "__ts": F.lag(F.unix_timestamp(ts)).over(by)})
+    before = with_previous(df, [vehicle], ts, tie, {"__lat": lat, "__lon": lon, "__ts": F.unix_timestamp(ts)})
     moved = before.withColumns({"distance_km": haversine_km(F.col("__lat"), F.col("__lon"), lat, lon), "elapsed_s": F.unix_timestamp(ts) - F.col("__ts"), "heading": heading_deg(F.col("__lat"), F.col("__lon"), lat, lon)})
     kmh = F.when(F.col("elapsed_s") > 0, F.col("distance_km") / (F.col("elapsed_s") / 3600.0))
-    fast = moved.withColumn("speed_kmh", kmh if limit is None else F.when(kmh.between(0, limit), kmh))
-    gain = (F.col("speed_kmh") - F.lag("speed_kmh").over(by)) / 3.6
-    return fast.withColumn("acceleration", F.when(F.col("elapsed_s") > 0, gain / F.col("elapsed_s"))).drop("__lat", "__lon", "__ts")
+    fast = moved.withColumn("speed_kmh", kmh if limit is None else F.when(kmh.between(0, limit), kmh)).drop("__lat", "__lon", "__ts")
+    if not acceleration:
+        return fast
+    gain = (F.col("speed_kmh") - F.col("__kmh")) / 3.6
+    return with_previous(fast, [vehicle], ts, tie, {"__kmh": F.col("speed_kmh")}).withColumn("acceleration", F.when(F.col("elapsed_s") > 0, gain / F.col("elapsed_s"))).drop("__kmh")
 
 
 def against_snapshot(now: DataFrame, before: DataFrame, max_gap_s: int = 600, limit: float = 100.0, missing: float | None = 0.0) -> DataFrame:

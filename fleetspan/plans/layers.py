@@ -24,16 +24,17 @@ def with_clock(df: DataFrame, of: str = "received_at") -> DataFrame:
 
 
 def silver(df: DataFrame, box: Box = BOXES["strict"]) -> DataFrame:
-    """Rows with vehicle, line, place and time inside the box; later copies flagged; scored. The route stands for the line's name, the speed for its destination."""
+    """Rows with vehicle, line, place and time inside the box; later copies flagged; scored. The route stands for the line's name, the speed for its destination. ``__day`` goes along."""
     rows = clean.inside_box(clean.mandatory(df, ["vehicle_id", "line_id", "latitude", "longitude", "ts"]), box=box)
-    flagged = dedup.flag_later(rows, ["vehicle_id", "ts"], [F.col("received_at"), F.col("row_id")])
+    rows = rows.withColumn("__day", F.to_date("ts")).repartition("vehicle_id", "__day")  # the clustering that ``telemetry.with_previous`` asks for
+    flagged = dedup.flag_later(rows, ["vehicle_id", "__day", "ts"], [F.col("received_at"), F.col("row_id")])
     return flagged.withColumn("data_quality_score", quality.row_score(F.col("is_duplicate"), F.col("route_id"), F.col("speed")))
 
 
 def with_telemetry(rows: DataFrame) -> DataFrame:
     """Silver rows that are no duplicates, with step telemetry; ``line_name`` and ``accessible`` stand in where the source has none."""
     kept = rows.where(~F.col("is_duplicate"))
-    return telemetry.steps(kept).withColumns({"line_name": F.col("route_id"), "accessible": F.pmod("row_id", F.lit(3)) == 0})
+    return telemetry.steps(kept, acceleration=False).withColumns({"line_name": F.col("route_id"), "accessible": F.pmod("row_id", F.lit(3)) == 0})
 
 
 def gold_hourly(spark: SparkSession, d: str) -> DataFrame:

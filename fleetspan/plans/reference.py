@@ -101,7 +101,7 @@ def b5_event_partitions(s, d):
 def b8_merge_latest(s, d):
     cols = ["vehicle_id", "line_id", "latitude", "longitude", "speed", "ts"]
     old = table(s, d, "vehicle_positions_latest").withColumn("ts", F.col("timestamp").cast("timestamp")).select(*cols)
-    new = dedup.ranked_first(positions(s, d).where("vehicle_id is not null and ts is not null"), ["vehicle_id"], [F.desc("ts"), F.desc("row_id")]).select(*cols)
+    new = dedup.first_of(positions(s, d).where("vehicle_id is not null and ts is not null"), ["vehicle_id"], ["ts", "row_id"], last=True).select(*cols)
     return dedup.merged_latest(old, new, ["vehicle_id"], "ts").withColumn("ts", text("ts"))
 
 
@@ -158,7 +158,7 @@ def c14_placed_stops(s, d):
 @query(f"""WITH {P} SELECT row_id, vehicle_id FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id, ts ORDER BY row_id) AS rn FROM p WHERE latitude BETWEEN -24 AND -23 AND longitude BETWEEN -47 AND -46 AND speed BETWEEN 0 AND 120) WHERE rn = 1""")
 def c15_silver_by_test_rules(s, d):
     df = clean.inside_box(positions(s, d), box=BOXES["wide"]).where(F.col("speed").between(0, 120))
-    return dedup.ranked_first(df, ["vehicle_id", "ts"], [F.col("row_id")]).select("row_id", "vehicle_id")
+    return dedup.first_of(df.select("row_id", "vehicle_id", "ts"), ["vehicle_id", "ts"], ["row_id"]).select("row_id", "vehicle_id")
 
 
 @query("SELECT row_id, 'stream' AS source FROM vehicle_positions WHERE vehicle_id IS NOT NULL AND \"timestamp\" IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetspan.functions import columns as X
@@ -57,9 +56,8 @@ def f7_peak_hour(s, d):
 
 @query(f"""WITH {P}, g AS (SELECT route_id, ({SEC.format("lead(ts) OVER (PARTITION BY route_id ORDER BY ts, row_id)")} - {SEC.format("ts")}) / 60.0 AS m FROM p WHERE ts IS NOT NULL) SELECT route_id, round(avg(m), 6) AS avg_gap FROM g WHERE m IS NOT NULL GROUP BY 1""")
 def f9_lead_headway(s, d):
-    by = Window.partitionBy("route_id").orderBy("ts", "row_id")
-    gap = (F.lead(F.unix_timestamp("ts")).over(by) - F.unix_timestamp("ts")) / 60.0
-    return positions(s, d).where("ts is not null").withColumn("m", gap).where("m is not null").groupBy("route_id").agg(six(F.avg("m")).alias("avg_gap"))
+    gaps = kpi.headways(positions(s, d).where("ts is not null").select("route_id", "ts", "row_id"), "route_id", None)  # to the next is from the one before
+    return gaps.groupBy("route_id").agg(six(F.avg("headway_minutes")).alias("avg_gap"))
 
 
 @query(f"""WITH {P}, m AS (SELECT line_id, avg(speed) AS a, stddev_samp(speed) AS s FROM p GROUP BY 1) SELECT row_id, round((speed - a) / nullif(s, 0), 5) AS z, coalesce(abs((speed - a) / nullif(s, 0)) > 3, false) AS is_anomaly FROM p JOIN m USING (line_id)""")
@@ -148,7 +146,7 @@ def i1_first_by_key(s, d):
 
 @query(f"WITH {P} SELECT row_id FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id, ts ORDER BY received_at DESC, row_id DESC) AS rn FROM p) WHERE rn = 1")
 def i2_last_by_window(s, d):
-    return dedup.ranked_first(positions(s, d), ["vehicle_id", "ts"], [F.desc("received_at"), F.desc("row_id")]).select("row_id")
+    return dedup.first_of(positions(s, d), ["vehicle_id", "ts"], ["received_at", "row_id"], last=True).select("row_id")
 
 
 @query(f"WITH {P} SELECT row_id FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id, floor(epoch_us(ts) / 60000000) ORDER BY ts DESC, row_id DESC) AS rn FROM p WHERE ts IS NOT NULL) WHERE rn = 1")
