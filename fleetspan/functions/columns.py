@@ -102,3 +102,13 @@ def partition_path(ts: Column, parts: tuple[str, ...] = ("year", "month", "day")
     """``year=2024/month=01/day=15``, and ``hour`` if asked for; all but the year with two digits. Null for an unknown time."""
     pattern = {"year": "y", "month": "MM", "day": "dd", "hour": "HH"}
     return F.concat(*(F.concat(F.lit(("/" if k else "") + f"{p}="), F.date_format(ts, pattern[p])) for k, p in enumerate(parts)))
+
+
+def speed_label(kmh: Column, limit: float = 120.0) -> Column:
+    """VALID from 0 to the limit, else INVALID, also for an unknown speed."""
+    return F.when(valid_speed(kmh, limit), "VALID").otherwise("INVALID")
+
+
+def is_peak_load(load: Column, above: float = 40.0) -> Column:
+    """Whether the load of an hour is above the bound; false for an unknown one."""
+    return F.coalesce(load > above, F.lit(False))

@@ -200,4 +200,23 @@ def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, floa
     for each distinct value, not for each row, so values should be rounded to what is meant (seconds, tenths).
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
-    return counts.groupBy(*by).agg(*[F.percentile(value, p, "__n").alias(n) for n, p in shares.items()])
+    return counts.groupBy(*by).agg(*[F.percentile(value, p, F.col("__n")).alias(n) for n, p in shares.items()])
+
+
+def utilization(df: DataFrame, by: str, active: Column, load: Column, capacity: Column) -> DataFrame:
+    """Per key: percent of active rows, and the average load in percent of the capacity (rows without either are left out)."""
+    g = df.groupBy(by).agg((F.count_if(active) * 100.0 / F.count("*")).alias("utilization_percent"), F.avg(F.try_divide(load, capacity) * 100).alias("occupancy_percent"))
+    return g
+
+
+def call_statistics(df: DataFrame, by: str, seconds: Column, ok: Column) -> DataFrame:
+    """Per key: calls, mean, least, greatest and deviation of the latency, percent of calls that succeeded."""
+    return df.groupBy(by).agg(
+        F.count("*").alias("calls"), F.avg(seconds).alias("mean_s"), F.min(seconds).alias("min_s"), F.max(seconds).alias("max_s"), F.stddev_samp(seconds).alias("std_s"), (F.count_if(ok) * 100.0 / F.count("*")).alias("success_percent")
+    )
+
+
+def fleet_metrics(df: DataFrame, speed: str = "speed") -> DataFrame:
+    """The business metrics of a frame in long form: fleet size, lines, average speed, rows."""
+    one = df.agg(F.count_distinct("vehicle_id").cast("double").alias("a"), F.count_distinct("line_id").cast("double").alias("b"), F.avg(speed).alias("c"), F.count("*").cast("double").alias("d"))
+    return one.select(F.expr("stack(4, 'fleet_size', a, 'lines', b, 'avg_speed', c, 'rows', d) as (metric, value)"))

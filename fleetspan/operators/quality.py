@@ -7,22 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetspan.errors import QualityError, SchemaError
 from fleetspan.functions.columns import banded, in_box
 from fleetspan.settings import BOXES, Box
 
 
-class QualityError(ValueError):
-    """A check that has to hold does not. ``details`` has the figures."""
-
-    def __init__(self, message: str, code: str = "quality", details: dict | None = None):
-        super().__init__(message)
-        self.code, self.details = code, details or {}
-
-
-class SchemaError(QualityError):
-    """Columns are missing or of another type."""
-
-
 def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if c not in df.columns]
 
@@ -165,3 +154,25 @@ def health(components: DataFrame) -> DataFrame:
     """One row: healthy if all components are, degraded if any is unhealthy, else unknown (also without components)."""
     s = F.col("status")
     return components.agg(F.when(F.coalesce(F.bool_and(s == "healthy"), F.lit(False)), "healthy").when(F.coalesce(F.bool_or(s == "unhealthy"), F.lit(False)), "degraded").otherwise("unknown").alias("status"))
+
+
+def pipeline_score(df: DataFrame, complete: list[str], valid: dict[str, Column]) -> DataFrame:
+    """One row: the share of known values of each column of ``complete``, of rows for which each test of ``valid`` holds, and the mean of all. No rows: 0."""
+    share = lambda x: F.coalesce(F.try_divide(x.cast("double"), F.count("*")), F.lit(0.0))
+    parts = {f"known_{c}": share(F.count(c)) for c in complete} | {f"valid_{n}": share(F.count_if(t)) for n, t in valid.items()}
+    mean = reduce(lambda a, b: a + b, [F.col(n) for n in parts]) / len(parts)
+    return df.agg(*[c.alias(n) for n, c in parts.items()]).withColumn("score", mean)
+
+
+def schema_report(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """A row for each expected column: expected and found type (null if missing), whether they agree."""
+    have = dict(df.dtypes)
+    rows = [(c, k, have.get(c), have.get(c) == k) for c, k in kinds.items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, expected string, found string, ok boolean")
+
+
+def check_metrics(results: DataFrame, stage: str) -> DataFrame:
+    """Results of ``checks`` as metrics (``metric``, ``label``, ``value``): one for each check (1 passed, 0 not) and the share that passed."""
+    each = results.select(F.lit("check_passed").alias("metric"), F.col("check_name").alias("label"), F.col("passed").cast("double").alias("value"))
+    share = results.agg(F.lit("checks_passed_share").alias("metric"), F.lit(stage).alias("label"), F.coalesce(F.avg(F.col("passed").cast("double")), F.lit(0.0)).alias("value"))
+    return each.unionByName(share)

@@ -177,8 +177,9 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_vehicles(spark: SparkSession, d: str) -> DataFrame:
-    """The flat vehicle table with types."""
-    return api_tables(spark, d)["vehicles"]
+    """The flat vehicle table with types; times as text."""
+    v = api_tables(spark, d)["vehicles"]
+    return v.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS") for c in ("position_at", "request_timestamp")})
 
 
 PROBLEMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -227,4 +228,9 @@ SQL: dict[str, str] = {
     "p5_found": f"WITH {_KEPT} SELECT row_id FROM k1 WHERE rn > 1",
     "p7_found": f"""WITH {_JSON} SELECT request_id, i::INT AS line_pos, -1 AS vehicle_pos, coalesce(m ->> '$.cl', '') AS line_code, '' AS vehicle_prefix FROM l1 WHERE json_type(m) = 'OBJECT' AND (json_exists(m, '$.cl') OR json_exists(m, '$.sl') OR json_exists(m, '$.vs'))
  UNION ALL SELECT request_id, i::INT, k::INT, coalesce(m ->> '$.cl', ''), coalesce(o ->> '$.p', '') FROM v1 WHERE json_type(o) = 'OBJECT' UNION ALL SELECT request_id, -1, k::INT, '', coalesce(o ->> '$.p', '') FROM t1 WHERE json_type(o) = 'OBJECT'""",
+    "p7_vehicles": f"""WITH {_JSON}, r AS (SELECT request_id, min(came) AS came FROM j1 WHERE j IS NOT NULL GROUP BY 1), o AS (SELECT request_id, i::INT AS line_pos, k::INT AS vehicle_pos, m ->> '$.cl' AS line_code, o, true AS under_line FROM v1 WHERE json_type(o) = 'OBJECT'
+ UNION ALL SELECT request_id, -1, k::INT, NULL, o, false FROM t1 WHERE json_type(o) = 'OBJECT'), x AS (SELECT *, o ->> '$.ta' AS ta FROM o JOIN r USING (request_id))
+ SELECT request_id, line_pos, vehicle_pos, line_code, o ->> '$.p' AS vehicle_prefix, (o ->> '$.a') = 'true' AS accessible, try_cast(o ->> '$.py' AS DOUBLE) AS latitude, try_cast(o ->> '$.px' AS DOUBLE) AS longitude, under_line,
+ left(strftime(came, '%Y-%m-%d %H:%M:%S.%f'), 23) AS request_timestamp, CASE WHEN regexp_full_match(ta, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') THEN
+ left(strftime(try_cast(replace(regexp_replace(ta, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', ''), 'T', ' ') AS TIMESTAMP) - to_minutes(coalesce(try_cast(regexp_extract(ta, ':[0-9.]+([+-][0-9]{{2}}):?[0-9]{{2}}$', 1) AS INT), 0) * 60), '%Y-%m-%d %H:%M:%S.%f'), 23) END AS position_at FROM x""",
 }

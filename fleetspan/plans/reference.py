@@ -6,6 +6,7 @@ Names begin with the operator's id. Times come out as text, floating figures rou
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,11 +273,18 @@ def e6_daily_summary(s, d):
     return kpi.daily_figures(positions(s, d), trip="route_id").select(F.date_format("date", "yyyy-MM-dd").alias("date"), "total_vehicles", "total_lines", "total_trips", "total_records", r6("avg_speed"), "max_speed", r6("operational_hours"))
 
 
-@query(f"""WITH {P} SELECT 'coverage' AS kpi, count(*) AS n FROM (SELECT DISTINCT date_trunc('hour', ts) FROM p) UNION ALL SELECT 'daily', count(*) FROM (SELECT DISTINCT ts::DATE FROM p)
- UNION ALL SELECT 'speed', count(*) FROM (SELECT DISTINCT line_id, date_trunc('hour', ts) FROM p WHERE speed IS NOT NULL)""")
+@query(f"""WITH {P}, trips AS (SELECT line_id, vehicle_id, route_id, min(ts) AS a, max(ts) AS b FROM p GROUP BY 1, 2, 3) SELECT 'coverage' AS kpi, {TXT.format("date_trunc('hour', ts)")} AS key, count(DISTINCT vehicle_id)::DOUBLE AS value FROM p GROUP BY 2
+ UNION ALL SELECT 'daily', strftime(ts, '%Y-%m-%d'), count(DISTINCT line_id)::DOUBLE FROM p GROUP BY 2 UNION ALL SELECT 'trips', line_id, count(*)::DOUBLE FROM trips GROUP BY 2
+ UNION ALL SELECT 'speed', concat_ws(' ', line_id, {TXT.format("date_trunc('hour', ts)")}), round(avg(speed), 6) FROM p WHERE speed IS NOT NULL GROUP BY line_id, date_trunc('hour', ts)
+ UNION ALL SELECT 'punctuality', line_id, count(*)::DOUBLE FROM p WHERE speed IS NOT NULL GROUP BY 2""")
 def e7_all_figures(s, d):
-    parts = [f.agg(F.lit(name).alias("kpi"), F.count("*").alias("n")) for name, f in kpi.all_figures(positions(s, d), DEFAULTS.fleet_size).items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = positions(s, d).withColumn("trip_id", F.col("route_id"))
+    f = kpi.all_figures(rows, DEFAULTS.fleet_size, rows.withColumn("delay_min", F.col("speed") - 20))
+    named = {
+        "coverage": (text("hour"), F.col("active_vehicles")), "daily": (F.date_format("date", "yyyy-MM-dd"), F.col("total_lines")), "trips": (F.col("line_id"), F.col("total_trips")),
+        "speed": (F.concat_ws(" ", "line_id", text("hour")), six("avg_speed")), "punctuality": (F.col("line_id"), F.col("total_arrivals")),
+    }
+    return reduce(DataFrame.unionByName, [f[n].select(F.lit(n).alias("kpi"), k.alias("key"), v.cast("double").alias("value")) for n, (k, v) in named.items()])
 
 
 @query(f"""WITH {HOURLY} SELECT line_id, line_name, {TXT.format("hour_timestamp")} AS hour_timestamp, vehicles_active, vehicles_accessible, round(avg_speed_kmh, 6) AS avg_speed_kmh, round(min_speed_kmh, 6) AS min_speed_kmh, round(max_speed_kmh, 6) AS max_speed_kmh,
@@ -387,7 +395,8 @@ def e24_hourly_totals(s, d):
 def e25_latency_slo(s, d):
     x = (F.unix_micros(F.col("created_at").cast("timestamp")) - F.unix_micros(F.col("timestamp").cast("timestamp"))) / 1e6
     a = table(s, d, "kpi_realtime").select(x.alias("x"))
-    return a.agg(F.round(F.avg("x"), 4).alias("avg_latency"), six(F.min("x")).alias("min_latency"), six(F.max("x")).alias("max_latency"), six(F.percentile("x", 0.95)).alias("p95_latency"), six(F.count_if(F.col("x") <= 120) * 100.0 / F.count("*")).alias("sla_percent"), F.round(F.stddev_samp("x"), 3).alias("std_latency"))
+    one = a.agg(F.round(F.avg("x"), 4).alias("avg_latency"), six(F.min("x")).alias("min_latency"), six(F.max("x")).alias("max_latency"), six(F.count_if(F.col("x") <= 120) * 100.0 / F.count("*")).alias("sla_percent"), F.round(F.stddev_samp("x"), 3).alias("std_latency"))
+    return one.join(F.broadcast(kpi.percentiles(a, [], "x", {"p95_latency": 0.95}).select(r6("p95_latency"))))
 
 
 @query("WITH v AS (SELECT received_at::DATE AS day, count(*) AS n FROM vehicle_positions GROUP BY 1) SELECT strftime(day, '%Y-%m-%d') AS day, n FROM v ORDER BY day DESC LIMIT 7")

@@ -295,14 +295,6 @@ def m7_fleet_kpis_json(s, d):
     return out.select("date", F.col("j.total_vehicles").alias("v"), F.col("j.total_lines").alias("l"), F.round("j.avg_speed_kmh", 4).alias("s"), F.col("j.peak_hour").alias("h"))
 
 
-@query(f"""WITH {HOURLY}, c AS (SELECT sum(vehicles_active)::BIGINT AS vehicles_now, round(avg(avg_speed_kmh), 6) AS speed_now, count(DISTINCT line_id) AS lines_now FROM hourly WHERE hour_timestamp = date_trunc('hour', (SELECT max(received_at) FROM p))),
- h AS (SELECT round(avg(vehicles_active), 6) AS vehicles_24h_avg, round(avg(avg_speed_kmh), 6) AS speed_24h_avg, round(sum(total_distance_km), 4) AS distance_24h_total FROM hourly WHERE hour_timestamp > (SELECT max(received_at) FROM p) - INTERVAL 24 HOURS) SELECT * FROM c, h""")
-def n1_dashboard(s, d):
-    now = positions(s, d).agg(F.max(F.col("received_at").cast("timestamp")).alias("now"))
-    g = layers.gold_hourly(s, d).join(F.broadcast(now))
-    c = g.where("hour_timestamp = date_trunc('hour', now)").agg(F.sum("vehicles_active").alias("vehicles_now"), six(F.avg("avg_speed_kmh")).alias("speed_now"), F.count_distinct("line_id").alias("lines_now"))
-    h = g.where("hour_timestamp > now - interval 24 hours").agg(six(F.avg("vehicles_active")).alias("vehicles_24h_avg"), six(F.avg("avg_speed_kmh")).alias("speed_24h_avg"), F.round(F.sum("total_distance_km"), 4).alias("distance_24h_total"))
-    return c.join(F.broadcast(h))
 
 
 @query('SELECT r.total_vehicles, r.total_lines, r.coverage_percentage, r.data_source, q.lines FROM (SELECT * FROM kpi_realtime ORDER BY "timestamp" DESC, id DESC LIMIT 1) r LEFT JOIN (SELECT count(*) AS lines FROM kpi_by_line WHERE "timestamp" = (SELECT max("timestamp") FROM kpi_by_line)) q ON true')

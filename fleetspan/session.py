@@ -9,15 +9,26 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "fleetspan", master: str | None = None, overrides: dict[str, str] | None = None) -> SparkSession:
-    """UTC session with adaptive execution; ``overrides`` win over the defaults."""
+# What a session for streams adds: few state partitions, a stop that lets batches end, and the root of the queries' checkpoints.
+STREAMING = {"spark.sql.shuffle.partitions": "10", "spark.streaming.stopGracefullyOnShutdown": "true", "spark.sql.streaming.metricsEnabled": "true"}
+
+
+def build_session(app: str = "fleetspan", master: str | None = None, overrides: dict[str, str] | None = None, stream_root: str | None = None) -> SparkSession:
+    """UTC session with adaptive execution; ``overrides`` win over the defaults.
+
+    ``stream_root`` makes it a session for streams: the folder, on storage that all executors share, under which queries keep their
+    checkpoints by name. ``spark.checkpoint.dir`` is the cluster's to name; see ``sources.lineage.shared_folder``.
+    """
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-    } | (overrides or {})
+    }
+    if stream_root:
+        conf |= STREAMING | {"spark.sql.streaming.checkpointLocation": stream_root}
+    conf |= overrides or {}
     builder = SparkSession.builder.appName(app).config(map=conf)
     return (builder.master(master) if master else builder).getOrCreate()
 

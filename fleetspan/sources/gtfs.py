@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from fleetspan.operators.clean import typed
 from fleetspan.schemas import SCHEMAS, schema
+from fleetspan.sources.sinks import exists
 
 REQUIRED = ("stops", "routes", "trips", "stop_times")
 
@@ -42,7 +43,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def report(spark: SparkSession, folder: str) -> dict:
     """Rows of each known file, the required files that are missing, and the empty ones."""
-    here = {n: f"{folder}/{n}.txt" for n in SCHEMAS["gtfs"] if Path(f"{folder}/{n}.txt").exists()}
+    here = {n: f"{folder}/{n}.txt" for n in SCHEMAS["gtfs"] if exists(spark, f"{folder}/{n}.txt")}
     rows = {n: scan(spark, p).count() for n, p in here.items()}
     missing = [n for n in REQUIRED if n not in rows]
     return {"rows": rows, "missing": missing, "empty": [n for n, k in rows.items() if not k], "valid": not missing}

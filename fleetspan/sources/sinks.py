@@ -50,13 +50,32 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     spark.catalog.refreshByPath(path)
 
 
-def upsert(df: DataFrame, path: str, keys: list[str], version: str, fmt: str = "parquet") -> None:
-    """Insert or update by key; the higher version stays. The first write creates the table."""
+BUCKET = "key_bucket"
+
+
+def upsert(df: DataFrame, path: str, keys: list[str], version: str, fmt: str = "parquet", buckets: int = 64) -> None:
+    """Insert or update by key; the higher version stays. The first write creates the table.
+
+    The table is partitioned by a hash of the key (``key_bucket``), so a write reads and replaces only the buckets that it touches; the number of
+    buckets is that of the first write. Formats with a log replace them at once; with plain files a reader can find a bucket missing between two renames.
+    """
     spark = df.sparkSession
+    new = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     if not exists(spark, path):
-        first = merged_latest(df.limit(0), df, keys, version)
-        return replace_table(first, path, fmt)
-    return replace_table(merged_latest(spark.read.format(fmt).load(path), df, keys, version), path, fmt)
+        first = merged_latest(new.limit(0), new, [*keys, BUCKET], version)
+        return first.write.format(fmt).partitionBy(BUCKET).save(path)
+    touched = new.select(BUCKET).distinct()  # at most ``buckets`` rows
+    old = spark.read.format(fmt).load(path).join(F.broadcast(touched), BUCKET, "left_semi").select(*new.columns)
+    merged = merged_latest(old, new, [*keys, BUCKET], version).repartition(BUCKET)
+    merged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).save(path)
+    spark.catalog.refreshByPath(path)
+
+
+def merge_job(df: DataFrame, path: str, job: str, version: str, fmt: str = "parquet") -> None:
+    """Upsert of a gold frame by the keys of its job (``hourly``, ``daily`` or ``line``); a job without keys is appended."""
+    if job in KEYS:
+        return upsert(df, path, KEYS[job], version, fmt, 16)
+    return write_table(df, path, "append", fmt)
 
 
 def write_quarantine(flagged: DataFrame, path: str) -> None:
