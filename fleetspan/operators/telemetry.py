@@ -56,10 +56,20 @@ def against_snapshot(now: DataFrame, before: DataFrame, max_gap_s: int = 600, li
 
 
 def trip_marks(df: DataFrame, trip: str, ts: str = "ts", tie: str = "row_id") -> DataFrame:
-    """Place of each row in its trip, whether it starts or ends it, and minutes since the start."""
-    by = Window.partitionBy(trip).orderBy(ts, tie)
-    n, first = F.count("*").over(Window.partitionBy(trip)), F.first(F.unix_timestamp(ts)).over(by)
-    return df.withColumns({"point": F.row_number().over(by)}).withColumns({"is_trip_start": F.col("point") == 1, "is_trip_end": F.col("point") == n, "elapsed_minutes": (F.unix_timestamp(ts) - first) / 60.0})
+    """Place of each row in its trip, whether it starts or ends it, and minutes since the start.
+
+    Rows are numbered within a day of their trip; a row for each trip and day, counted on the map side, gives what lies before. A long trip
+    is spread over its days. Rows with a null trip belong to one trip; null times come first.
+    """
+    laid = df.withColumn("__day", F.to_date(ts))
+    all_days = Window.partitionBy("__t")
+    earlier = all_days.orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
+    days = laid.groupBy(F.col(trip).alias("__t"), F.col("__day").alias("__d")).agg(F.count("*").alias("__n"), F.min(F.unix_timestamp(ts)).alias("__a"), F.count_if(F.col(ts).isNull()).alias("__unknown"))
+    days = days.select("__t", "__d", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"), F.sum("__n").over(all_days).alias("__all"), F.when(F.sum("__unknown").over(all_days) == 0, F.min("__a").over(all_days)).alias("__first"))
+    rows = laid.join(days, F.col(trip).eqNullSafe(F.col("__t")) & F.col("__day").eqNullSafe(F.col("__d")))
+    point = F.col("__before") + F.row_number().over(Window.partitionBy("__t", "__d").orderBy(ts, tie))
+    out = rows.withColumn("point", point).withColumns({"is_trip_start": F.col("point") == 1, "is_trip_end": F.col("point") == F.col("__all"), "elapsed_minutes": (F.unix_timestamp(ts) - F.col("__first")) / 60.0})
+    return out.drop("__t", "__d", "__day", "__before", "__all", "__first")
 
 
 def sessions(df: DataFrame, vehicle: str = "vehicle_id", ts: str = "ts", tie: str = "row_id", speed: str = "speed", above: float = 5.0, pause_s: int = 300) -> DataFrame:
