@@ -74,9 +74,9 @@ def b2_timetable_overwrite(s, d):
 
 @query(f"WITH {SILVER} SELECT year(ts)::INT AS year, month(ts)::INT AS month, day(ts)::INT AS day, count(*) AS n, count_if(is_duplicate) AS duplicates, round(avg(score), 6) AS score FROM silver GROUP BY ALL")
 def b3_silver_append(s, d):
-    path = new_store(s, "silver")
-    sinks.write_layer(silver(positions(s, d)).drop("__day"), path, "silver", "ts", files_per_part=2)
-    return s.read.parquet(path).groupBy("year", "month", "day").agg(F.count("*").alias("n"), F.count_if("is_duplicate").alias("duplicates"), six(F.avg("data_quality_score")).alias("score"))
+    path, rows = new_store(s, "silver"), silver(positions(s, d)).drop("__day")
+    sinks.write_layer(rows, path, "silver", "ts", files_per_part=2)
+    return sinks.read_layer(s, path, "silver", "ts", lambda: rows).groupBy("year", "month", "day").agg(F.count("*").alias("n"), F.count_if("is_duplicate").alias("duplicates"), six(F.avg("data_quality_score")).alias("score"))
 
 
 @query(f"WITH {HOURLY} SELECT year(hour_timestamp)::INT AS year, month(hour_timestamp)::INT AS month, count(*) AS n, sum(vehicles_active)::BIGINT AS vehicles, round(sum(total_distance_km), 3) AS km FROM hourly GROUP BY ALL")

@@ -6,6 +6,9 @@ is written beside itself first and swapped in by renaming, so no read sees a hal
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,21 @@ def write_layer(df: DataFrame, path: str, layer: str, ts: str, mode: str = "appe
     (writer.option("mergeSchema", "true") if fmt == "delta" else writer).save(path)
 
 
+def read_table(spark: SparkSession, path: str, like: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
+    """The table at ``path``. A partitioned table that was written without rows has no file to tell its columns: it is empty, with those of ``like``."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    return spark.createDataFrame([], like().schema)
+
+
+def read_layer(spark: SparkSession, path: str, layer: str, ts: str, rows: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
+    """What ``write_layer`` wrote of ``rows``."""
+    return read_table(spark, path, lambda: with_time_parts(rows(), ts, PARTS[layer]), fmt)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     df.write.format(fmt).mode(mode).save(path)
 
