@@ -91,7 +91,7 @@ def b9_merge_daily(s, d):
     path, g = new_store(s, "daily"), kpi.gold_daily(tel(s, d))
     for add in (1, 0):  # the second write has the same keys and wins
         sinks.merge_job(g.withColumn("total_trips", F.col("total_trips") + add), path, "daily", "date")
-    return s.read.parquet(path).select(F.date_format("date", "yyyy-MM-dd").alias("date"), "total_vehicles", "total_trips")
+    return sinks.read_table(s, path, lambda: g).select(F.date_format("date", "yyyy-MM-dd").alias("date"), "total_vehicles", "total_trips")
 
 
 @query(f"""WITH {P} SELECT 'coverage' AS kpi, {TXT.format("date_trunc('hour', ts)")} AS key, count(DISTINCT vehicle_id)::DOUBLE AS value FROM p GROUP BY 2

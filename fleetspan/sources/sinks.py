@@ -83,7 +83,7 @@ def upsert(df: DataFrame, path: str, keys: list[str], version: str, fmt: str = "
         first = merged_latest(new.limit(0), new, [*keys, BUCKET], version)
         return first.write.format(fmt).partitionBy(BUCKET).save(path)
     touched = new.select(BUCKET).distinct()  # at most ``buckets`` rows
-    old = spark.read.format(fmt).load(path).join(F.broadcast(touched), BUCKET, "left_semi").select(*new.columns)
+    old = read_table(spark, path, lambda: new, fmt).join(F.broadcast(touched), BUCKET, "left_semi").select(*new.columns)
     merged = merged_latest(old, new, [*keys, BUCKET], version).repartition(BUCKET)
     merged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).save(path)
     spark.catalog.refreshByPath(path)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from fleetspan.sources import sinks
 
 KEPT = {"outside": "* replace (latitude + 90 as latitude)", "no time": "* replace (null::timestamp as timestamp)", "no rows": "*"}
 
@@ -32,3 +33,14 @@ def same_as_sql(spark, folder, name):
 
 def test_silver_append(spark, folder):
     same_as_sql(spark, folder, "b3_silver_append")
+
+
+def test_merge_daily(spark, folder):
+    same_as_sql(spark, folder, "b9_merge_daily")
+
+
+def test_rows_are_merged_into_a_table_without_rows(spark, tmp_path):
+    df, path = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), str(tmp_path / "t")
+    for rows in (df.limit(0), df.limit(0), df, df.limit(0)):
+        sinks.upsert(rows, path, ["k"], "v")
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 2)]
