@@ -273,7 +273,8 @@ def l6_last_positions(s, d):
     path, last = _messages(s, d), new_store(s, "last")
     rows = stream.transformed(stream.parsed(stream.file_stream(s, path, "value string", 1)))
     stream.keep_latest(rows.drop("processing_time"), last, new_store(s, "speeds"), new_store(s, "cp")).awaitTermination()
-    return s.read.parquet(last).select("vehicle_id", text("ts").alias("last_seen"))
+    like = lambda: positions(s, d).select("vehicle_id", "ts")
+    return sinks.read_table(s, last, like).select("vehicle_id", text("ts").alias("last_seen"))
 
 
 @query(f"WITH {P} SELECT count(*) AS messages, count(vehicle_id) AS with_vehicle FROM p")

@@ -14,7 +14,7 @@ from fleetspan.operators.kpi import windowed
 from fleetspan.operators.telemetry import against_snapshot
 from fleetspan.schemas import schema
 from fleetspan.settings import BOXES, Box
-from fleetspan.sources.sinks import BUCKET, exists, upsert
+from fleetspan.sources.sinks import BUCKET, exists, read_table, upsert
 
 
 def file_stream(spark: SparkSession, path: str, ddl: str | None = None, files_per_trigger: int = 100) -> DataFrame:
@@ -63,7 +63,7 @@ def keep_latest(rows: DataFrame, table: str, out: str, checkpoint: str, every: s
         spark = batch.sparkSession
         now = batch.withColumnRenamed("timestamp", "ts")
         last = now.groupBy("vehicle_id").agg(F.max_by(F.struct("latitude", "longitude", "ts"), "ts").alias("r")).select("vehicle_id", "r.*")
-        before = spark.read.parquet(table).drop(BUCKET) if exists(spark, table) else last.limit(0)
+        before = read_table(spark, table, lambda: last).drop(BUCKET) if exists(spark, table) else last.limit(0)
         against_snapshot(now, before).write.mode("overwrite").parquet(f"{out}/batch={number}")
         upsert(last, table, ["vehicle_id"], "ts")
 

@@ -1,12 +1,15 @@
 """Queries that write and read back, on positions of which none is left by the box or the time; their SQL has empty results."""
 
 import os
+from datetime import datetime
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from fleetspan.schemas import schema
 from fleetspan.sources import sinks
+from fleetspan.streaming import positions as st
 
 KEPT = {"outside": "* replace (latitude + 90 as latitude)", "no time": "* replace (null::timestamp as timestamp)", "no rows": "*"}
 
@@ -44,3 +47,15 @@ def test_rows_are_merged_into_a_table_without_rows(spark, tmp_path):
     for rows in (df.limit(0), df.limit(0), df, df.limit(0)):
         sinks.upsert(rows, path, ["k"], "v")
     assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_last_positions(spark, folder):
+    same_as_sql(spark, folder, "l6_last_positions")
+
+
+def test_a_first_batch_without_rows(spark, tmp_path):
+    src, last, cp = str(tmp_path / "in"), str(tmp_path / "last"), str(tmp_path / "cp")
+    for place in (0.0, -23.5):
+        spark.createDataFrame([("a", datetime(2018, 1, 1, 8), place, -46.6, None, "r", 1, True)], schema("stream", "positions")).write.mode("append").parquet(src)
+        st.keep_latest(st.transformed(st.file_stream(spark, src)), last, str(tmp_path / "speeds"), cp).awaitTermination()
+    assert [(r["vehicle_id"], r["latitude"]) for r in spark.read.parquet(last).collect()] == [("a", -23.5)]
