@@ -81,9 +81,9 @@ def b3_silver_append(s, d):
 
 @query(f"WITH {HOURLY} SELECT year(hour_timestamp)::INT AS year, month(hour_timestamp)::INT AS month, count(*) AS n, sum(vehicles_active)::BIGINT AS vehicles, round(sum(total_distance_km), 3) AS km FROM hourly GROUP BY ALL")
 def b4_gold_append(s, d):
-    path = new_store(s, "gold")
-    sinks.write_layer(layers.gold_hourly(s, d), path, "gold", "hour_timestamp")
-    return s.read.parquet(path).groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("vehicles_active").alias("vehicles"), F.round(F.sum("total_distance_km"), 3).alias("km"))
+    path, rows = new_store(s, "gold"), layers.gold_hourly(s, d)
+    sinks.write_layer(rows, path, "gold", "hour_timestamp")
+    return sinks.read_layer(s, path, "gold", "hour_timestamp", lambda: rows).groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("vehicles_active").alias("vehicles"), F.round(F.sum("total_distance_km"), 3).alias("km"))
 
 
 @query(f"WITH {DAILY} SELECT strftime(date, '%Y-%m-%d') AS date, total_vehicles, total_trips FROM daily")

@@ -59,3 +59,7 @@ def test_a_first_batch_without_rows(spark, tmp_path):
         spark.createDataFrame([("a", datetime(2018, 1, 1, 8), place, -46.6, None, "r", 1, True)], schema("stream", "positions")).write.mode("append").parquet(src)
         st.keep_latest(st.transformed(st.file_stream(spark, src)), last, str(tmp_path / "speeds"), cp).awaitTermination()
     assert [(r["vehicle_id"], r["latitude"]) for r in spark.read.parquet(last).collect()] == [("a", -23.5)]
+
+
+def test_gold_append(spark, folder):
+    same_as_sql(spark, folder, "b4_gold_append")
