@@ -262,9 +262,9 @@ def _messages(s, d) -> str:
 @query(f"WITH {IN_STREAM} SELECT strftime(ts, '%Y-%m-%d') AS date, hour(ts)::INT AS hour, count(*) AS n, count_if(coalesce(speed > 5, false)) AS moving, round(sum(speed), 4) AS speed_sum FROM st GROUP BY 1, 2")
 def l4_stream_to_files(s, d):
     path, out = _messages(s, d), new_store(s, "stream")
-    rows = stream.transformed(stream.parsed(stream.file_stream(s, path, "value string")))
-    stream.to_files(rows.drop("processing_time"), out, new_store(s, "cp"), every=None).awaitTermination()
-    g = s.read.parquet(out).groupBy(F.col("date").cast("string").alias("date"), F.col("hour").cast("int").alias("hour"))
+    rows = stream.transformed(stream.parsed(stream.file_stream(s, path, "value string"))).drop("processing_time")
+    stream.to_files(rows, out, new_store(s, "cp"), every=None).awaitTermination()
+    g = s.read.schema(rows.schema).parquet(out).groupBy(F.col("date").cast("string").alias("date"), F.col("hour").cast("int").alias("hour"))
     return g.agg(F.count("*").alias("n"), F.count_if("is_moving").alias("moving"), F.round(F.sum("speed"), 4).alias("speed_sum"))
 
 

@@ -63,3 +63,7 @@ def test_a_first_batch_without_rows(spark, tmp_path):
 
 def test_gold_append(spark, folder):
     same_as_sql(spark, folder, "b4_gold_append")
+
+
+def test_stream_to_files(spark, folder):
+    same_as_sql(spark, folder, "l4_stream_to_files")
