@@ -14,31 +14,56 @@ from fleetspan.plans import layers
 from fleetspan.sources import sinks
 
 
+def _bronze_rows(spark: SparkSession, source: str) -> DataFrame:
+    return layers.positions(spark, source).withColumn("event_time", F.coalesce("ts", F.col("received_at").cast("timestamp")))
+
+
+def _bronze(spark: SparkSession, source: str, lake: str) -> DataFrame:
+    return sinks.read_layer(spark, f"{lake}/bronze", "bronze", "event_time", lambda: _bronze_rows(spark, source))
+
+
+def _silver_rows(spark: SparkSession, source: str, lake: str) -> DataFrame:
+    return clean.with_processing(layers.silver(_bronze(spark, source, lake).drop("event_time", "year", "month", "day", "hour")).drop("__day"), "silver", "to_silver")
+
+
+def _silver(spark: SparkSession, source: str, lake: str) -> DataFrame:
+    return sinks.read_layer(spark, f"{lake}/silver", "silver", "ts", lambda: _silver_rows(spark, source, lake))
+
+
+def _gold_rows(spark: SparkSession, source: str, lake: str, name: str) -> DataFrame:
+    return GOLD[name][0](layers.with_telemetry(_silver(spark, source, lake).drop("year", "month", "day")))
+
+
+def _gold(spark: SparkSession, source: str, lake: str, name: str) -> DataFrame:
+    return sinks.read_layer(spark, f"{lake}/gold/{name}", "gold", GOLD[name][1], lambda: _gold_rows(spark, source, lake, name))
+
+
+# The gold frames, and the times that they are partitioned and merged by.
+GOLD: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {"hourly": (kpi.gold_hourly, "hour_timestamp"), "daily": (kpi.gold_daily, "date")}
+
+
 def to_bronze(spark: SparkSession, source: str, lake: str) -> DataFrame:
     """Positions as delivered, by event hour; those without a time go by their arrival."""
-    rows = layers.positions(spark, source).withColumn("event_time", F.coalesce("ts", F.col("received_at").cast("timestamp")))
-    sinks.write_layer(rows, f"{lake}/bronze", "bronze", "event_time", "overwrite")
-    return spark.read.parquet(f"{lake}/bronze")
+    sinks.write_layer(_bronze_rows(spark, source), f"{lake}/bronze", "bronze", "event_time", "overwrite")
+    return _bronze(spark, source, lake)
 
 
 def to_silver(spark: SparkSession, source: str, lake: str) -> DataFrame:
-    rows = clean.with_processing(layers.silver(spark.read.parquet(f"{lake}/bronze").drop("event_time", "year", "month", "day", "hour")).drop("__day"), "silver", "to_silver")
-    sinks.write_layer(rows, f"{lake}/silver", "silver", "ts", "overwrite")
-    return spark.read.parquet(f"{lake}/silver")
+    sinks.write_layer(_silver_rows(spark, source, lake), f"{lake}/silver", "silver", "ts", "overwrite")
+    return _silver(spark, source, lake)
 
 
 def to_gold(spark: SparkSession, source: str, lake: str) -> DataFrame:
-    rows = layers.with_telemetry(spark.read.parquet(f"{lake}/silver").drop("year", "month", "day"))
-    sinks.write_layer(kpi.gold_hourly(rows), f"{lake}/gold/hourly", "gold", "hour_timestamp", "overwrite")
-    sinks.write_layer(kpi.gold_daily(rows), f"{lake}/gold/daily", "gold", "date", "overwrite")
-    return spark.read.parquet(f"{lake}/gold/hourly")
+    for name, (_, ts) in GOLD.items():
+        sinks.write_layer(_gold_rows(spark, source, lake, name), f"{lake}/gold/{name}", "gold", ts, "overwrite")
+    return _gold(spark, source, lake, "hourly")
 
 
 def to_serving(spark: SparkSession, source: str, lake: str) -> DataFrame:
     """The gold frames merged into the serving tables by their keys."""
-    for name, version in (("hourly", "hour_timestamp"), ("daily", "date")):
-        sinks.merge_job(spark.read.parquet(f"{lake}/gold/{name}"), f"{lake}/serving/{name}", name, version)
-    return spark.read.parquet(f"{lake}/serving/hourly")
+    for name, (_, ts) in GOLD.items():
+        sinks.merge_job(_gold(spark, source, lake, name), f"{lake}/serving/{name}", name, ts)
+    return sinks.read_table(spark, f"{lake}/serving/hourly", lambda: _gold(spark, source, lake, "hourly"))
 
 
 JOBS: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {"bronze": to_bronze, "silver": to_silver, "gold": to_gold, "serving": to_serving}

@@ -67,3 +67,7 @@ def test_gold_append(spark, folder):
 
 def test_stream_to_files(spark, folder):
     same_as_sql(spark, folder, "l4_stream_to_files")
+
+
+def test_jobs(spark, folder):
+    same_as_sql(spark, folder, "n15_jobs")
